@@ -10,66 +10,68 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _ring_sums(ring: Column) -> Column:
-    """Doubled signed area and first moments of a ring, as struct(a, mx, my).
+_PARTS = ("a", "mx", "my")
 
-    Coordinates are taken relative to the ring's first point, which keeps the sums small.
-    """
+
+def _total(parts: Column) -> Column:
+    """Component-wise sum of an array of struct(a, mx, my)."""
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in _PARTS])
+    return F.aggregate(parts, zero, lambda s, p: F.struct(*[(s[k] + p[k]).alias(k) for k in _PARTS]))
+
+
+def _edge_sums(ring: Column) -> Column:
+    """Doubled signed area and first moments of a ring about its first point."""
     x0, y0 = ring[0][0], ring[0][1]
-    edges = F.arrays_zip(
-        F.slice(ring, 1, F.size(ring) - 1).alias("p"), F.slice(ring, 2, F.size(ring) - 1).alias("q")
+    moved = F.transform(ring, lambda p: F.struct((p[0] - x0).alias("x"), (p[1] - y0).alias("y")))
+    starts, ends = F.slice(moved, 1, F.size(ring) - 1), F.slice(moved, 2, F.size(ring) - 1)
+    crossed = F.zip_with(
+        starts,
+        ends,
+        lambda p, q: F.struct(
+            (p["x"] * q["y"] - q["x"] * p["y"]).alias("a"), (p["x"] + q["x"]).alias("x"), (p["y"] + q["y"]).alias("y")
+        ),
     )
-
-    def edge(e: Column) -> Column:
-        px, py = e["p"][0] - x0, e["p"][1] - y0
-        qx, qy = e["q"][0] - x0, e["q"][1] - y0
-        cross = px * qy - qx * py
-        return F.struct(
-            cross.alias("a"), ((px + qx) * cross).alias("mx"), ((py + qy) * cross).alias("my")
+    return _total(
+        F.transform(
+            crossed, lambda e: F.struct(e["a"].alias("a"), (e["x"] * e["a"]).alias("mx"), (e["y"] * e["a"]).alias("my"))
         )
-
-    sums = _total(F.transform(edges, edge))
-    # back from ring-relative to absolute: the centroid moves by the first point
-    return F.struct(
-        sums["a"].alias("a"),
-        (sums["mx"] + 3 * x0 * sums["a"]).alias("mx"),
-        (sums["my"] + 3 * y0 * sums["a"]).alias("my"),
     )
 
 
-def _total(parts: Column) -> Column:
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    return F.aggregate(
-        parts,
-        zero,
-        lambda s, p: F.struct(
-            (s["a"] + p["a"]).alias("a"),
-            (s["mx"] + p["mx"]).alias("mx"),
-            (s["my"] + p["my"]).alias("my"),
+def _polygon_sums(rings: Column) -> Column:
+    """Sums of a polygon. A ring counts by its place, not by the direction it was drawn in: the
+    first adds, the others are holes. Each transform binds what the next one uses more than once.
+    """
+    measured = F.transform(
+        rings,
+        lambda ring, i: F.struct(
+            F.when(i > 0, F.lit(-1.0)).otherwise(F.lit(1.0)).alias("role"),
+            ring[0][0].alias("x0"),
+            ring[0][1].alias("y0"),
+            _edge_sums(ring).alias("s"),
         ),
     )
-
-
-def _signed(sums: Column, is_hole: Column) -> Column:
-    """A ring counts by its place in the polygon, not by the direction it was drawn in."""
-    wanted = F.when(is_hole, F.lit(-1.0)).otherwise(F.lit(1.0))
-    sign = F.when(sums["a"] < 0, -wanted).otherwise(wanted)
-    return F.struct(
-        (sums["a"] * sign).alias("a"), (sums["mx"] * sign).alias("mx"), (sums["my"] * sign).alias("my")
+    placed = F.transform(
+        measured,
+        lambda r: F.struct(
+            (r["role"] * F.when(r["s"]["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))).alias("sign"),
+            r["s"]["a"].alias("a"),
+            (r["s"]["mx"] + 3 * r["x0"] * r["s"]["a"]).alias("mx"),
+            (r["s"]["my"] + 3 * r["y0"] * r["s"]["a"]).alias("my"),
+        ),
     )
+    return _total(F.transform(placed, lambda r: F.struct(*[(r["sign"] * r[k]).alias(k) for k in _PARTS])))
 
 
 def centroid(multipolygon: Column) -> Column:
     """Area-weighted centroid as struct(x, y); NULL coordinates when the area is zero."""
-    per_polygon = F.transform(
-        multipolygon,
-        lambda rings: _total(F.transform(rings, lambda ring, i: _signed(_ring_sums(ring), i > 0))),
-    )
-    sums = _total(per_polygon)
-    return F.struct(
-        F.try_divide(sums["mx"], 3 * sums["a"]).alias("x"),
-        F.try_divide(sums["my"], 3 * sums["a"]).alias("y"),
-    )
+    sums = F.array(_total(F.transform(multipolygon, _polygon_sums)))
+    return F.transform(
+        sums,
+        lambda s: F.struct(
+            F.try_divide(s["mx"], 3 * s["a"]).alias("x"), F.try_divide(s["my"], 3 * s["a"]).alias("y")
+        ),
+    )[0]
 
 
 def euclidean(x: Column, y: Column) -> Column:

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A plain decimal number. Spark alone would also take suffixes such as '1d'.
-_NUMBER = r"^\s*[+-]?\d*\.?\d*([eE][+-]?\d+)?\s*$"
+# A plain decimal number below 1e308. Spark alone would also take '1d', 'inf' or '1e400'.
+_NUMBER = r"^\s*[+-]?(\d{0,300}\.?\d*|\d{0,8}\.?\d*[eE][+-]?[12]?\d?\d)\s*$"
+# A whole number in digits, and one written as a float.
+_DIGITS = r"^\s*[+-]?\d+\s*$"
+_WHOLE_FLOAT = r"^\s*[+-]?\d+(\.0*)?([eE]\+?\d{1,2})?\s*$"
 
 # Fixed value: a duration this long or longer stands for "not measured".
 SECONDS_LIMIT = 999
@@ -15,22 +18,26 @@ SECONDS_LIMIT = 999
 def to_double(col: Column) -> Column:
     """Number text to DOUBLE; bad text, overflow, inf and nan become NULL."""
     text = col.cast("string")
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_long(col: Column) -> Column:
-    """Whole number text to BIGINT, also when written '10001.0'; a fraction becomes NULL."""
-    value = to_double(col)
-    return F.when(value == F.floor(value), value.try_cast("bigint"))
+    """Whole number text to BIGINT, also when written '10001.0' or '1e4'; a fraction becomes NULL."""
+    text = col.cast("string")
+    as_float = text.try_cast("double").try_cast("bigint")
+    return F.when(text.rlike(_DIGITS), text.try_cast("bigint")).when(text.rlike(_WHOLE_FLOAT), as_float)
 
 
-def clean_seconds(col: Column, limit: float = SECONDS_LIMIT) -> Column:
+def mask_seconds(value: Column, limit: float = SECONDS_LIMIT) -> Column:
     """Durations outside [0, limit) become NULL."""
-    value = to_double(col)
     return F.when((value >= 0) & (value < limit), value)
 
 
+def clean_seconds(col: Column, limit: float = SECONDS_LIMIT) -> Column:
+    """Duration text to DOUBLE, masked."""
+    return mask_seconds(to_double(col), limit)
+
+
 def zero_if_null(col: Column) -> Column:
     return F.coalesce(col, F.lit(0))
 

@@ -47,6 +47,13 @@ def null_tokens_to_null(col: Column) -> Column:
     return F.when(~col.isin(*NULL_TOKENS), col)
 
 
+def null_tokens_in(column: str) -> Column:
+    """The same for a column by name. One SQL text is far fewer driver calls than a literal each,
+    which counts on wide raw tables."""
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+    return F.expr(f"CASE WHEN `{column}` NOT IN ({tokens}) THEN `{column}` END")
+
+
 def conform_text(col: Column) -> Column:
     return F.upper(F.trim(col.cast("string"), F.lit(WHITESPACE)))
 

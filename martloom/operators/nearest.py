@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from martloom.storage import BROADCAST_ROWS, store
 
 _STEP = 3  # bits per axis and depth: 8 x 8 children
-_DEPTHS = 10
+_DEPTHS = 16
+_LEAF_SITES = 64  # a cell with no more sites than this is not split further
 _RESOLUTION = 1 << (_STEP * _DEPTHS)
 
 
@@ -57,7 +58,8 @@ def nearest_site(
 ) -> DataFrame:
     """(point_id, site_id, distance2) for every point with a position; ties go to the smaller id.
 
-    `point_id` must be unique. Sites at one position count as one, under their smallest id.
+    `point_id` must be unique. Sites at one position count as one, under their smallest id. Without
+    any site the result is empty.
     """
     positions = store(distinct_positions(sites, site_id, sx, sy), "positions")
     extent = positions.agg(
@@ -82,19 +84,21 @@ def nearest_site(
     placed = store(
         positions.withColumn("gx", grid("sx", extent["x0"])).withColumn("gy", grid("sy", extent["y0"])), "placed"
     )
-    occupied = placed.agg(
-        *[F.count_distinct(_cell("gx", d), _cell("gy", d)).alias(f"d{d}") for d in range(1, _DEPTHS + 1)]
-    ).first()
-    # stop at the first depth where each position has its own cell
-    depths = next((d for d in range(1, _DEPTHS + 1) if occupied[f"d{d}"] == extent["n"]), _DEPTHS)
+    cell_counts: list[int] = []
+    for depth in range(1, _DEPTHS + 1):
+        sizes = placed.groupBy(_cell("gx", depth), _cell("gy", depth)).agg(F.count("*").alias("n"))
+        size = sizes.agg(F.count("*").alias("cells"), F.max("n").alias("fullest")).first()
+        cell_counts.append(size["cells"])
+        if size["fullest"] <= _LEAF_SITES:
+            break
 
     front = wanted.repartition("point_id").select("*", F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"))
-    for depth in range(1, depths + 1):
+    for depth, occupied in enumerate(cell_counts, start=1):
         cells = placed.groupBy(_cell("gx", depth).alias("kx"), _cell("gy", depth).alias("ky")).agg(
             F.min("sx").alias("bx0"), F.max("sx").alias("bx1"), F.min("sy").alias("by0"), F.max("sy").alias("by1")
         )
         cells = cells.withColumn("ux", F.shiftright("kx", _STEP)).withColumn("uy", F.shiftright("ky", _STEP))
-        if occupied[f"d{depth}"] <= BROADCAST_ROWS:
+        if occupied <= BROADCAST_ROWS:
             cells = F.broadcast(cells)
         x, y = F.col("px"), F.col("py")
         children = front.join(cells, (F.col("cx") == F.col("ux")) & (F.col("cy") == F.col("uy"))).select(
@@ -106,7 +110,7 @@ def nearest_site(
         front = children.withColumn("reach", reach).filter(F.col("low") <= F.col("reach")).select("point_id", "px", "py", "cx", "cy")
 
     leaves = placed.select(
-        _cell("gx", depths).alias("kx"), _cell("gy", depths).alias("ky"), "sx", "sy", F.col("site_id").alias("leaf_site")
+        _cell("gx", len(cell_counts)).alias("kx"), _cell("gy", len(cell_counts)).alias("ky"), "sx", "sy", F.col("site_id").alias("leaf_site")
     )
     if extent["n"] <= BROADCAST_ROWS:
         leaves = F.broadcast(leaves)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.numbers import flag, to_double, to_long
-from martloom.functions.text import conform_borough, conform_text, null_tokens_to_null
+from martloom.functions.text import conform_borough, conform_text, null_tokens_in, null_tokens_to_null
 from martloom.functions.times import calendar, date_key, parse_iso
 from martloom.operators.keys import dense_key
 from martloom.plans.staging import DATETIME_COLUMNS, LOCATION_COLUMNS, present
@@ -99,7 +99,7 @@ def dim_site(raw: DataFrame) -> DataFrame:
 
 def dim_site_wide(raw: DataFrame) -> DataFrame:
     """Site list with all of its columns, conformed borough added."""
-    rows = raw.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    rows = raw.select(*[null_tokens_in(c).alias(c) for c in raw.columns])
     if "Borough" in raw.columns:
         rows = rows.withColumn("Borough_Norm", conform_borough(F.col("Borough")))
     if "Postcode" in raw.columns:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.numbers import to_double, to_long, zero_if_null
+from martloom.functions.numbers import to_long, zero_if_null
 from martloom.functions.text import conform_text, recode_flag
 from martloom.operators.keys import attach_key
 from martloom.plans.dimensions import EMS, EMS_CODE_DIMS, FIRE, FIRE_CODE_DIMS
-from martloom.plans.staging import LOCATION_COLUMNS, SECONDS_COLUMNS, present
+from martloom.plans.staging import DURATION_COLUMN, LOCATION_COLUMNS, SECONDS_COLUMNS, UNIT_COLUMNS, present
 
 # Raw measure columns and their names in the facts.
 MEASURES = {
@@ -17,11 +17,6 @@ MEASURES = {
     "INCIDENT_TRAVEL_TM_SECONDS_QY": "travel_time",
     "INCIDENT_RESPONSE_SECONDS_QY": "response_time",
 }
-UNIT_COLUMNS = [
-    "ENGINES_ASSIGNED_QUANTITY",
-    "LADDERS_ASSIGNED_QUANTITY",
-    "OTHER_UNITS_ASSIGNED_QUANTITY",
-]
 FLAG_COLUMNS = [
     "HELD_INDICATOR",
     "REOPEN_INDICATOR",
@@ -37,9 +32,9 @@ ALARM_COLUMNS = [
 ]
 
 
-def _optional(df: DataFrame, column: str, convert, type_name: str) -> Column:
-    """The converted column, or a typed NULL where the raw file lacks it."""
-    return convert(F.col(column)) if column in df.columns else F.lit(None).cast(type_name)
+def _optional(df: DataFrame, column: str, type_name: str) -> Column:
+    """The staged column, or a typed NULL where the raw file lacks it."""
+    return F.col(column) if column in df.columns else F.lit(None).cast(type_name)
 
 
 def _attach_shared(staged: DataFrame, location: DataFrame, types: DataFrame, weather: DataFrame, code: str, source: str):
@@ -60,16 +55,16 @@ def fact_ems(staged: DataFrame, location: DataFrame, types: DataFrame, weather:
         "location_key",
         "incident_type_key",
         "weather_key",
-        *[_optional(staged, c, to_double, "double").alias(name) for c, name in MEASURES.items()],
+        *[_optional(staged, c, "double").alias(name) for c, name in MEASURES.items()],
         F.lit(1).alias("nb_interventions"),
-        _optional(staged, "INITIAL_CALL_TYPE", lambda c: c, "string").alias("initial_call_type"),
+        _optional(staged, "INITIAL_CALL_TYPE", "string").alias("initial_call_type"),
         F.col("FINAL_CALL_TYPE").alias("final_call_type"),
     )
 
 
 def fact_fire(staged: DataFrame, location: DataFrame, types: DataFrame, weather: DataFrame) -> DataFrame:
     keyed = _attach_shared(staged, location, types, weather, "INCIDENT_CLASSIFICATION", FIRE)
-    units = [zero_if_null(to_long(F.col(c))).cast("int") for c in UNIT_COLUMNS]
+    units = [zero_if_null(F.col(c)).cast("int") for c in UNIT_COLUMNS]
     return keyed.select(
         F.col("STARFIRE_INCIDENT_ID").alias("incident_id"),
         F.col("DATE_KEY").alias("date_key"),
@@ -79,8 +74,8 @@ def fact_fire(staged: DataFrame, location: DataFrame, types: DataFrame, weather:
         "weather_key",
         *[u.alias(c.lower()) for u, c in zip(units, UNIT_COLUMNS)],
         (units[0] + units[1] + units[2]).alias("total_units"),
-        *[_optional(staged, c, to_double, "double").alias(name) for c, name in MEASURES.items()],
-        _optional(staged, "TOTAL_INCIDENT_DURATION_SECONDS", to_double, "double").alias("total_duration"),
+        *[_optional(staged, c, "double").alias(name) for c, name in MEASURES.items()],
+        _optional(staged, DURATION_COLUMN, "double").alias("total_duration"),
         F.lit(1).alias("nb_interventions"),
     )
 
@@ -133,7 +128,7 @@ def star_fact_fire(staged: DataFrame, location: DataFrame, codes: dict[str, Data
         F.col("DATE_KEY").alias("incident_date_key"),
         "location_key",
         *_clean_measures(staged),
-        *[to_long(F.col(c)).cast("int").alias(c.lower()) for c in present(staged, UNIT_COLUMNS)],
+        *[F.col(c).alias(c.lower()) for c in present(staged, UNIT_COLUMNS)],
         *[key for _, key, _ in FIRE_CODE_DIMS],
         *[F.col(c).alias(c.lower()) for c in present(staged, ALARM_COLUMNS)],
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.plans import dimensions as dims
 from martloom.plans import facts
-from martloom.plans.staging import stage_ems, stage_fire
+from martloom.plans.staging import EMS_NEEDS, FIRE_NEEDS, needed, stage_ems, stage_fire
 from martloom.sources.raw import read_text_table, read_weather
 from martloom.sources.tables import write_tables
 from martloom.storage import store
@@ -17,8 +17,8 @@ def build_galaxy(ems: DataFrame, fire: DataFrame, sites: DataFrame, weather: Dat
 
     Staging is stored, so raw text is parsed once and each dimension reads only its columns.
     """
-    ems = store(stage_ems(ems), "staged_ems")
-    fire = store(stage_fire(fire), "staged_fire")
+    ems = store(needed(stage_ems(ems), EMS_NEEDS), "staged_ems")
+    fire = store(needed(stage_fire(fire), FIRE_NEEDS), "staged_fire")
     location = dims.dim_location([ems, fire])
     types = dims.dim_incident_type(ems, fire)
     hours = dims.dim_weather(weather)

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.functions.text import null_tokens_to_null
+from martloom.functions.text import null_tokens_in
 
 WEATHER_SCHEMA = (
     "time STRING, temperature_2m STRING, precipitation STRING, weathercode STRING, windspeed_10m STRING"
@@ -36,7 +36,7 @@ def read_text_table(spark: SparkSession, path: str, columns: list[str] | None =
 
 
 def nulls_from_tokens(raw: DataFrame) -> DataFrame:
-    return raw.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    return raw.select(*[null_tokens_in(c).alias(c) for c in raw.columns])
 
 
 def read_keyed_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:

@@ -8,7 +8,7 @@ from martloom.functions import numbers, text, times
 from martloom.operators.keys import attach_key, dense_key
 from martloom.plans import dimensions as dims
 from martloom.plans import facts
-from martloom.plans.staging import stage_ems, stage_fire
+from martloom.plans.staging import EMS_NEEDS, FIRE_NEEDS, needed, stage_ems, stage_fire
 from martloom.sources.raw import flatten_hourly
 from martloom.storage import store
 from workload import roles
@@ -400,9 +400,12 @@ def attach_dim_key(spark, sf):
     return facts.attach_code(orders, dim, "o_orderpriority", "priority_key").select("o_orderkey", "priority_key")
 
 
-def galaxy_parts(spark, sf):
-    a = store(stage_ems(roles.raw_a(spark, sf)), "staged_a")
-    b = store(stage_fire(roles.raw_b(spark, sf)), "staged_b")
+def galaxy_parts(spark, sf, facts_of: str):
+    """Staged frames and shared dimensions; only a frame that becomes a fact is stored."""
+    a = needed(stage_ems(roles.raw_a(spark, sf)), EMS_NEEDS)
+    b = needed(stage_fire(roles.raw_b(spark, sf)), FIRE_NEEDS)
+    a = store(a, "staged_a") if "a" in facts_of else a
+    b = store(b, "staged_b") if "b" in facts_of else b
     return a, b, dims.dim_location([a, b]), dims.dim_incident_type(a, b), dims.dim_weather(roles.raw_weather(spark, sf))
 
 
@@ -421,7 +424,7 @@ SHARED_KEYS = f"""
     GALAXY,
 )
 def fact_a(spark, sf):
-    a, _, location, types, weather = galaxy_parts(spark, sf)
+    a, _, location, types, weather = galaxy_parts(spark, sf, "a")
     return facts.fact_ems(a, location, types, weather)
 
 
@@ -438,7 +441,7 @@ def fact_a(spark, sf):
     GALAXY,
 )
 def fact_b(spark, sf):
-    _, b, location, types, weather = galaxy_parts(spark, sf)
+    _, b, location, types, weather = galaxy_parts(spark, sf, "b")
     return facts.fact_fire(b, location, types, weather)
 
 
@@ -451,7 +454,7 @@ def fact_b(spark, sf):
     GALAXY,
 )
 def fact_union(spark, sf):
-    a, b, location, types, weather = galaxy_parts(spark, sf)
+    a, b, location, types, weather = galaxy_parts(spark, sf, "ab")
     both = {"EMS": facts.fact_ems(a, location, types, weather), "FIRE": facts.fact_fire(b, location, types, weather)}
     stacked = facts.combined(both, ["date_key", "location_key", "nb_interventions", "response_time"])
     return stacked.groupBy("source", "date_key", "location_key").agg(

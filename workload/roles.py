@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.functions.times import date_key as calendar_key
+from martloom.storage import spread
 from workload.registry import table
 
 STAMP = "MM/dd/yyyy hh:mm:ss a"
@@ -81,7 +83,7 @@ def raw_a(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_b(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").withColumn("tax", F.round(F.col("l_tax") * 100).cast("int"))
+    lines = spread(table(spark, sf, "lineitem")).withColumn("tax", F.round(F.col("l_tax") * 100).cast("int"))
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     placed = with_place(lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left"), spark, sf, "s_nationkey")
     line, flag, quantity = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_quantity")
@@ -249,6 +251,4 @@ GALAXY = ",".join([A, B, HOURLY, DIMS])
 
 
 def times_key(ts) -> Column:
-    from martloom.functions.times import date_key as key
-
-    return key(F.col(ts) if isinstance(ts, str) else ts)
+    return calendar_key(F.col(ts) if isinstance(ts, str) else ts)

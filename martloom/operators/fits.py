@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.storage import store
+
 
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: slope, intercept and r2 of y on x."""
@@ -19,11 +21,11 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 def quadratic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: c0 + c1 x + c2 x^2 fitted to y, NULL when x has fewer than three values.
 
-    Rows are first folded to one per x, so the detail is read once. The folded rows give the mean
-    of x and then the power sums around it; centring keeps the normal equations well conditioned.
+    Rows are first folded to one per x and stored, so the detail is read once. The folded rows give
+    the mean of x and then the power sums around it; centring keeps the equations well conditioned.
     """
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    folded = points.groupBy("x").agg(F.count("*").alias("w"), F.sum("y").alias("t"))
+    folded = store(points.groupBy("x").agg(F.count("*").alias("w"), F.sum("y").alias("t")), "folded")
     centre = folded.agg((F.sum(F.col("x") * F.col("w")) / F.sum("w")).alias("m"))
     u = F.col("x") - centre.scalar()
     w, t = F.col("w"), F.col("t")

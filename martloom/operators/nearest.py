@@ -16,6 +16,7 @@ from martloom.storage import BROADCAST_ROWS, store
 
 _STEP = 3  # bits per axis and depth: 8 x 8 children
 _DEPTHS = 16
+_ROOT_CELLS = 64
 _LEAF_SITES = 64  # a cell with no more sites than this is not split further
 _RESOLUTION = 1 << (_STEP * _DEPTHS)
 
@@ -36,6 +37,39 @@ def _farthest_gap(v: Column, lo: str, hi: str) -> Column:
     return F.greatest(F.abs(v - F.col(lo)), F.abs(v - F.col(hi)))
 
 
+def _cells(placed: DataFrame, depth: int) -> DataFrame:
+    """The occupied cells of a depth with the tight box around their sites."""
+    return placed.groupBy(_cell("gx", depth).alias("kx"), _cell("gy", depth).alias("ky")).agg(
+        F.min("sx").alias("bx0"), F.max("sx").alias("bx1"), F.min("sy").alias("by0"), F.max("sy").alias("by1")
+    )
+
+
+def _constants(boxes: list[tuple]) -> Column:
+    """A few cells as generated rows, in the columns of `_cells`."""
+    rows = ", ".join(
+        f"named_struct('kx', {kx}L, 'ky', {ky}L, 'bx0', {bx0!r}D, 'bx1', {bx1!r}D, 'by0', {by0!r}D, 'by1', {by1!r}D)"
+        for kx, ky, bx0, bx1, by0, by1 in boxes
+    )
+    return F.expr(f"inline(array({rows}))")
+
+
+def _measure(pairs: DataFrame) -> DataFrame:
+    """Bounds of the squared distance from a point to the nearest site in a cell's box."""
+    x, y = F.col("px"), F.col("py")
+    return pairs.select(
+        "point_id", "px", "py", F.col("kx").alias("cx"), F.col("ky").alias("cy"),
+        _squared(_nearest_gap(x, "bx0", "bx1"), _nearest_gap(y, "by0", "by1")).alias("low"),
+        _squared(_farthest_gap(x, "bx0", "bx1"), _farthest_gap(y, "by0", "by1")).alias("high"),
+    )
+
+
+def _prune(measured: DataFrame) -> DataFrame:
+    """Drop cells that are further off than another cell can be at most."""
+    reach = F.min("high").over(Window.partitionBy("point_id"))
+    near = measured.withColumn("reach", reach).filter(F.col("low") <= F.col("reach"))
+    return near.select("point_id", "px", "py", "cx", "cy")
+
+
 def distinct_positions(sites: DataFrame, site_id: str, x: str, y: str) -> DataFrame:
     """One row per position, carrying the smallest site id found there."""
     return (
@@ -92,25 +126,22 @@ def nearest_site(
         if size["fullest"] <= _LEAF_SITES:
             break
 
-    front = wanted.repartition("point_id").select("*", F.lit(0).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"))
-    for depth, occupied in enumerate(cell_counts, start=1):
-        cells = placed.groupBy(_cell("gx", depth).alias("kx"), _cell("gy", depth).alias("ky")).agg(
-            F.min("sx").alias("bx0"), F.max("sx").alias("bx1"), F.min("sy").alias("by0"), F.max("sy").alias("by1")
+    # the deepest grid of few cells is the root; its boxes travel as constants
+    depths = len(cell_counts)
+    root = max((d for d in range(1, depths + 1) if cell_counts[d - 1] <= _ROOT_CELLS), default=1)
+    boxes = [tuple(r) for r in _cells(placed, root).collect()]
+    front = _prune(_measure(wanted.repartition("point_id").select("*", _constants(boxes))))
+    for depth in range(root + 1, depths + 1):
+        cells = _cells(placed, depth).withColumns(
+            {"ux": F.shiftright("kx", _STEP), "uy": F.shiftright("ky", _STEP)}
         )
-        cells = cells.withColumn("ux", F.shiftright("kx", _STEP)).withColumn("uy", F.shiftright("ky", _STEP))
-        if occupied <= BROADCAST_ROWS:
+        if cell_counts[depth - 1] <= BROADCAST_ROWS:
             cells = F.broadcast(cells)
-        x, y = F.col("px"), F.col("py")
-        children = front.join(cells, (F.col("cx") == F.col("ux")) & (F.col("cy") == F.col("uy"))).select(
-            "point_id", "px", "py", F.col("kx").alias("cx"), F.col("ky").alias("cy"),
-            _squared(_nearest_gap(x, "bx0", "bx1"), _nearest_gap(y, "by0", "by1")).alias("low"),
-            _squared(_farthest_gap(x, "bx0", "bx1"), _farthest_gap(y, "by0", "by1")).alias("high"),
-        )
-        reach = F.min("high").over(Window.partitionBy("point_id"))
-        front = children.withColumn("reach", reach).filter(F.col("low") <= F.col("reach")).select("point_id", "px", "py", "cx", "cy")
+        children = front.join(cells, (F.col("cx") == F.col("ux")) & (F.col("cy") == F.col("uy")))
+        front = _prune(_measure(children))
 
     leaves = placed.select(
-        _cell("gx", len(cell_counts)).alias("kx"), _cell("gy", len(cell_counts)).alias("ky"), "sx", "sy", F.col("site_id").alias("leaf_site")
+        _cell("gx", depths).alias("kx"), _cell("gy", depths).alias("ky"), "sx", "sy", F.col("site_id").alias("leaf_site")
     )
     if extent["n"] <= BROADCAST_ROWS:
         leaves = F.broadcast(leaves)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from martloom.functions.bins import bin_edges, bin_floor, bin_top
 from martloom.functions.numbers import zero_if_null
 from martloom.operators.fits import linear_fit
+from martloom.storage import store
 
 # Heatmap categories, shift changes, temperature bins (lo, hi, width) in Fahrenheit.
 TOP_CATEGORIES = 10
@@ -46,8 +47,12 @@ def volume_by_category(fact: DataFrame, types: DataFrame) -> DataFrame:
 
 
 def risk_heatmap(fact: DataFrame, types: DataFrame, top: int | None = TOP_CATEGORIES) -> DataFrame:
-    """(hour, category, n) for the categories with most rows, empty cells 0; `top=None` for all."""
-    counts = volume_by_category(fact, types).filter(F.col("category").isNotNull())
+    """(hour, category, n) for the categories with most rows, empty cells 0; `top=None` for all.
+
+    The counts, at most 24 rows per category, are stored: they are used three times and the fact
+    is to be read once.
+    """
+    counts = store(volume_by_category(fact, types).filter(F.col("category").isNotNull()), "category_hours")
     if top is not None:
         ranked = counts.groupBy("category").agg(F.sum("rows").alias("rows"))
         best = ranked.orderBy(F.desc("rows"), F.asc("category")).limit(top)

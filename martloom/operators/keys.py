@@ -55,6 +55,8 @@ def attach_key(
     `null_safe` lets null match null. The dim must be unique on its columns; the result then has
     exactly the fact's rows. A dim that is counted small is broadcast and the fact is not moved.
     A bigger one is copied per salt and joined by shuffle, so a hot key does not end in one task.
+    The salt is a hash of the row: a task that is run again sends each row where it went before.
+    Exact copies of a row share a salt; a partition they overfill is split by the skew join.
     """
     names = [f"__on_{i}" for i in range(len(on))]
     lookup = dim.select(
@@ -70,7 +72,7 @@ def attach_key(
     small = fits_broadcast(lookup) if broadcast_rows is None else fits_broadcast(lookup, broadcast_rows)
     if small:
         return fact.join(F.broadcast(lookup), condition, "left").drop(*names)
-    salted = fact.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    salted = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(SALTS)))
     copies = lookup.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     condition = condition & (F.col("__salt") == F.col("__copy").cast("bigint"))
     return salted.join(copies, condition, "left").drop("__salt", "__copy", *names)

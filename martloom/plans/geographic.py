@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martloom.functions.geometry import centroid
 from martloom.operators.nearest import distinct_positions, nearest_site
 from martloom.plans.temporal import total
+from martloom.storage import store
 
 # Ring size of the busiest area, areas named in the triage matrix.
 RING_SIZE = 800
@@ -17,19 +18,21 @@ TOP_AREAS = 5
 def area_rollup(fact: DataFrame, location: DataFrame) -> DataFrame:
     """Per zip the volume and the unweighted mean of its locations' mean response times.
 
-    The two levels are meant: each location counts once, however many incidents it has.
+    The two levels are meant: each location counts once, however many incidents it has. The result
+    is stored, since every other geographic mart reads it more than once.
     """
     per_location = (
         fact.filter(F.col("location_key").isNotNull())
         .groupBy("location_key")
         .agg(total("nb_interventions").alias("volume"), F.avg("response_time").alias("response"))
     )
-    return (
+    per_zip = (
         per_location.join(location.select("location_key", "zipcode"), "location_key")
         .filter(F.col("zipcode").isNotNull())
         .groupBy("zipcode")
         .agg(F.sum("volume").alias("nb_interventions"), F.avg("response").alias("response_time"))
     )
+    return store(per_zip, "area_rollup")
 
 
 def area_points(areas: DataFrame) -> DataFrame:
@@ -98,6 +101,7 @@ def station_reach(
     `points` is (area_code, x, y), `response` (area_code, response_time). Sites at one position
     share their territory.
     """
+    response = store(response.select("area_code", "response_time"), "area_response")
     measured = points.join(response, "area_code")
     assigned = nearest_site(measured, sites, "area_code", "x", "y", site_id, x, y)
     per_territory = (

@@ -9,6 +9,7 @@ from martloom.functions.bins import bin_edges, bin_top
 from martloom.functions.numbers import zero_if_null
 from martloom.operators.fits import quadratic_fit
 from martloom.plans.temporal import total
+from martloom.storage import store
 
 # Flows and consumers shown, load bins, the dispatch time that ends the analysis.
 TOP_FLOWS = 20
@@ -55,6 +56,7 @@ def flow_nodes(links: DataFrame, labelled: bool = True) -> DataFrame:
 
 def flow_indices(links: DataFrame, labelled: bool = True) -> DataFrame:
     """(source, target, value): the links in terms of node numbers."""
+    links = store(links, "links")
     nodes = flow_nodes(links, labelled)
     ends = links.select(_from(labelled).alias("from_label"), _to(labelled).alias("to_label"), "value")
     sources = nodes.select(F.col("node").alias("source"), F.col("label").alias("from_label"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.times import parse_datetime
 from martloom.plans.temporal import total
+from martloom.storage import store
 
 # Fixed value: distinct values listed in a report.
 LISTED = 10
@@ -38,7 +39,7 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str) ->
 
 def orphan_report(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str, listed: int = LISTED) -> DataFrame:
     """The number of orphan rows beside the first few orphan keys, one row per listed key."""
-    orphans = orphan_keys(fact, dim, foreign_key, key)
+    orphans = store(orphan_keys(fact, dim, foreign_key, key), "orphans")
     rows = orphans.agg(zero_sum(F.col("rows"))).scalar()
     return orphans.orderBy("key").limit(listed).select("key", rows.alias("orphan_rows"))
 

@@ -26,8 +26,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and read it back: short lineage, known size, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}/{label}"
+    """Write `df` once and read it back: short lineage, known size, survives lost executors.
+
+    Tables of one application lie under its id, so a finished application can be cleaned up whole.
+    """
+    application = df.sparkSession.sparkContext.applicationId
+    path = f"{shared_folder(df.sparkSession)}/{application}/{uuid.uuid4().hex}/{label}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

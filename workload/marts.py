@@ -237,7 +237,7 @@ def speed_trap(spark, sf):
     ROLLUP,
 )
 def triage_matrix(spark, sf):
-    return geo.triage_matrix(store(rollup(spark, sf), "rollup"))
+    return geo.triage_matrix(rollup(spark, sf))
 
 
 @query(
@@ -248,7 +248,7 @@ def triage_matrix(spark, sf):
     ROLLUP,
 )
 def triage_top(spark, sf):
-    return geo.triage_top(store(rollup(spark, sf), "rollup"))
+    return geo.triage_top(rollup(spark, sf))
 
 
 @query(
@@ -259,7 +259,7 @@ def triage_top(spark, sf):
     ROLLUP,
 )
 def triage_top_dist(spark, sf):
-    return geo.triage_top_dist(store(rollup(spark, sf), "rollup"))
+    return geo.triage_top_dist(rollup(spark, sf))
 
 
 @query(
@@ -385,7 +385,7 @@ def flow_nodes(spark, sf):
     f"{A}, {FLOWS}",
 )
 def flow_indices(spark, sf):
-    return ops.flow_indices(store(ops.flow_links(call_types(spark, sf)), "links"))
+    return ops.flow_indices(ops.flow_links(call_types(spark, sf)))
 
 
 @query(
@@ -609,17 +609,74 @@ def pca_quality(spark, sf):
     return fit.quality(matrix, "o_custkey")
 
 
-@query("pca_quality_worst", "l_suppkey:int cos2_x:float6 cos2_y:float6 quality:float6")
-def pca_quality_worst(spark, sf):
-    """Four features per supplier; no closed form in SQL, tests compare with a direct computation."""
+def supplier_fit(spark, sf) -> tuple:
+    """Three features per supplier, whose components still have a closed form."""
     matrix = store(
         table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
             F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"),
-            F.avg(F.floor("l_extendedprice")).alias("price"), F.avg(F.round(F.col("l_tax") * 100)).alias("tax"),
+            F.avg(F.round(F.col("l_tax") * 100)).alias("tax"),
         ),
         "supplier_matrix",
     )
-    return fit_components(matrix, ["lines", "quantity", "price", "tax"]).worst(matrix, "l_suppkey")
+    return matrix, fit_components(matrix, ["lines", "quantity", "tax"])
+
+
+# The correlation matrix less its diagonal has eigenvalues mu with mu^3 - s mu - 2 p = 0; the
+# cross product of two rows of the shifted matrix is an eigenvector.
+THREE = """
+m3 AS (SELECT l_suppkey, count(*) AS x1, sum(l_quantity) AS x2, avg(round(l_tax * 100)) AS x3 FROM lineitem GROUP BY 1),
+f3 AS (SELECT count(*) AS n, corr(x1, x2) AS r12, corr(x1, x3) AS r13, corr(x2, x3) AS r23, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3,
+              stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, stddev_pop(x3) AS s3 FROM m3),
+g3 AS (SELECT *, r12 * r12 + r13 * r13 + r23 * r23 AS s, r12 * r13 * r23 AS p FROM f3),
+mu3 AS (SELECT pc, n, r12, r13, r23, 2 * sqrt(s / 3) * cos((acos(p / pow(s / 3, 1.5)) + CASE pc WHEN 1 THEN 0 WHEN 2 THEN -2 * pi() ELSE 2 * pi() END) / 3) AS mu
+        FROM g3 CROSS JOIN (SELECT unnest([1, 2, 3]) AS pc)),
+raw3 AS (SELECT pc, n, mu, r12 * r23 + r13 * mu AS w1, r12 * r13 + r23 * mu AS w2, mu * mu - r12 * r12 AS w3 FROM mu3),
+unit3 AS (SELECT pc, n, mu, w1 / sqrt(w1 * w1 + w2 * w2 + w3 * w3) AS u1, w2 / sqrt(w1 * w1 + w2 * w2 + w3 * w3) AS u2,
+                 w3 / sqrt(w1 * w1 + w2 * w2 + w3 * w3) AS u3 FROM raw3),
+v3 AS (SELECT pc, (1 + mu) * n / (n - 1) AS eigenvalue, (1 + mu) / 3 AS ratio, u1 * flip AS v1, u2 * flip AS v2, u3 * flip AS v3 FROM (
+         SELECT *, sign(CASE WHEN abs(u1) >= greatest(abs(u2), abs(u3)) - 1e-9 THEN u1 WHEN abs(u2) >= abs(u3) - 1e-9 THEN u2 ELSE u3 END) AS flip FROM unit3)),
+z3 AS (SELECT l_suppkey, (x1 - f3.m1) / s1 AS z1, (x2 - f3.m2) / s2 AS z2, (x3 - f3.m3) / s3 AS z3 FROM m3 CROSS JOIN f3),
+q3 AS (SELECT l_suppkey, pow(z1 * v1 + z2 * v2 + z3 * v3, 2) / nullif(z1 * z1 + z2 * z2 + z3 * z3, 0) AS cos2, pc FROM z3 CROSS JOIN v3 WHERE pc <= 2),
+plane3 AS (SELECT l_suppkey, round(max(cos2) FILTER (WHERE pc = 1), 3) AS cos2_x, round(max(cos2) FILTER (WHERE pc = 2), 3) AS cos2_y,
+                  round(sum(cos2), 3) AS quality FROM q3 GROUP BY 1)
+"""
+
+
+@query(
+    "pca_eigen_three",
+    "pc:int eigenvalue:float6 ratio:float6 cumulative:float6",
+    "SELECT pc, eigenvalue, ratio, sum(ratio) OVER (ORDER BY pc) AS cumulative FROM v3",
+    THREE,
+)
+def pca_eigen_three(spark, sf):
+    return supplier_fit(spark, sf)[1].eigen()
+
+
+@query(
+    "pca_loadings_three",
+    "feature:text pc:int loading:float6",
+    """SELECT feature, pc, CASE feature WHEN 'lines' THEN v1 WHEN 'quantity' THEN v2 ELSE v3 END * sqrt(eigenvalue) AS loading
+       FROM v3 CROSS JOIN (SELECT unnest(['lines', 'quantity', 'tax']) AS feature)""",
+    THREE,
+)
+def pca_loadings_three(spark, sf):
+    return supplier_fit(spark, sf)[1].loadings()
+
+
+@query(
+    "pca_quality_worst",
+    "l_suppkey:int cos2_x:float6 cos2_y:float6 quality:float6",
+    "SELECT * FROM plane3 ORDER BY quality NULLS LAST, l_suppkey LIMIT 20",
+    THREE,
+)
+def pca_quality_worst(spark, sf):
+    matrix, fit = supplier_fit(spark, sf)
+    return fit.worst(matrix, "l_suppkey")
+
+
+@query("pca_planes", "pc_x:int pc_y:int", """SELECT 1 AS pc_x, 2 AS pc_y UNION ALL SELECT 1, 3 WHERE (SELECT sum(ratio) FROM v3 WHERE pc <= 2) < 0.6""", THREE)
+def pca_planes(spark, sf):
+    return supplier_fit(spark, sf)[1].planes()
 
 
 @query(

@@ -102,6 +102,8 @@ def _classed(rows: DataFrame, block_bytes: int) -> DataFrame:
     named = store(own.join(names, ROW), "exact_dedup_named")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", ROW)
     groups = named.groupBy("round", "name").agg(F.count("*").alias("group_size"), F.min(first).alias("first"))
+    # read back, so that both sides of the join are dealt for it alone and a large group is split
+    groups = store(groups, "exact_dedup_groups")
     return named.join(groups, ["round", "name"]).select(
         ROW,
         "id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import exact_dedup
+from martloom.llm import bpe, exact_dedup, packing, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +22,30 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM t WINDOW same AS (PARTITION BY body)
 """
 
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assessed(table(spark, sf_dir, "documents"))
+
+
+def op4_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.predictions(docs, model)
+
+
+def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_divergence": op2_divergence,
+    "op4_swap_packing": op4_swap_packing,
+    "op8_nnpu_toxicity": op8_nnpu_toxicity,
+    "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 ORACLES = {

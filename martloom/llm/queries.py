@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import bpe, exact_dedup, packing, quality, toxicity
+from martloom.llm import bpe, exact_dedup, licenses, ngrams, packing, pages, quality, simhash, toxicity, warc
+from martloom.storage import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,16 +27,46 @@ def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assessed(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), new_path(spark, "warc_archives"))
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT page_id, body, strlen(body) AS n, min(page_id) OVER (PARTITION BY body) AS first FROM t)
+SELECT page_id, n AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM g
+"""
+
+
 def op4_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.scored(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.predictions(docs, model)
 
 
+def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -43,11 +74,17 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_divergence": op2_divergence,
+    "op3_warc_chain": op3_warc_chain,
     "op4_swap_packing": op4_swap_packing,
+    "op5_license_join": op5_license_join,
+    "op6_backoff_lm": op6_backoff_lm,
+    "op7_simhash": op7_simhash,
     "op8_nnpu_toxicity": op8_nnpu_toxicity,
+    "op9_host_paths": op9_host_paths,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op3_warc_chain": OP3_SQL,
 }

@@ -25,13 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="martloom-"))
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and read it back: short lineage, known size, survives lost executors.
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing uses yet.
 
-    Tables of one application lie under its id, so a finished application can be cleaned up whole.
+    What one application writes lies under its id, so a finished application can be cleaned up whole.
     """
-    application = df.sparkSession.sparkContext.applicationId
-    path = f"{shared_folder(df.sparkSession)}/{application}/{uuid.uuid4().hex}/{label}"
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{label}"
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` once and read it back: short lineage, known size, survives lost executors."""
+    path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -57,6 +57,7 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _WORD = re.compile(r"[a-z]+|[0-9]+")
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
 
 @dataclass
@@ -147,6 +148,10 @@ def parse(source: str) -> Page:
                     close_block(stack[-1][1])
                 del stack[depth:]
             continue
+        if name in RAW:
+            close = _RAW_END[name].search(source, at)
+            at = close.end() if close else end
+            continue
         if name in INLINE:
             if name == "br":
                 held.append(" ")
@@ -163,10 +168,6 @@ def parse(source: str) -> Page:
                     break
             if name in VOID:
                 continue
-        if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-            at = close.end() if close else end
-            continue
         if found["rest"].rstrip().endswith("/") and name not in CONTAINERS and name not in INLINE and name != "p":
             continue
         described: dict[str, str] = {}

@@ -9,6 +9,7 @@ bounded sample; every row of the table is scored where it lies.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,8 +56,8 @@ class Model:
 
     def score(self, words: set[bytes]) -> float:
         known = self.weights
-        z = self.bias + sum(known[w] for w in words if w in known)
-        return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+        z = self.bias + math.fsum(known[w] for w in words if w in known)
+        return 1 / (1 + math.exp(-min(max(z, -700.0), 700.0))) if z > -math.inf else 0.0
 
 
 def _plain_table() -> bytes:
@@ -142,7 +143,7 @@ def train(
     n_pos, n_unl = sizes.get(True, 0), sizes.get(False, 0)
     prior = min(prior, 0.9)
     if not n_pos or not n_unl or not prior:
-        return Model(-np.inf, {})
+        return Model(-math.inf, {})
     share = lambda c, n: (F.count_if(c) + 0.5) / (n + 1.0)
     seen = sample.select("positive", F.explode("words").alias("word")).groupBy("word")
     in_pos, in_unl = F.col("positive"), ~F.col("positive")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A plain decimal number below 1e308. Spark alone would also take '1d', 'inf' or '1e400'.
-_NUMBER = r"^\s*[+-]?(\d{0,300}\.?\d*|\d{0,8}\.?\d*[eE][+-]?[12]?\d?\d)\s*$"
-# A whole number in digits, and one written as a float.
+# A plain decimal number of any length. Spark alone would also take '1d' or 'inf'.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _DIGITS = r"^\s*[+-]?\d+\s*$"
-_WHOLE_FLOAT = r"^\s*[+-]?\d+(\.0*)?([eE]\+?\d{1,2})?\s*$"
+_LARGEST = 1.7976931348623157e308
+_LONGS = 2.0**63
 
 # Fixed value: a duration this long or longer stands for "not measured".
 SECONDS_LIMIT = 999
@@ -18,14 +18,16 @@ SECONDS_LIMIT = 999
 def to_double(col: Column) -> Column:
     """Number text to DOUBLE; bad text, overflow, inf and nan become NULL."""
     text = col.cast("string")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(F.abs(number) <= _LARGEST, number)
 
 
 def to_long(col: Column) -> Column:
-    """Whole number text to BIGINT, also when written '10001.0' or '1e4'; a fraction becomes NULL."""
+    """Whole number text to BIGINT, also when written '10001.0', '1e4' or '1500e-1'; a fraction becomes NULL."""
     text = col.cast("string")
-    as_float = text.try_cast("double").try_cast("bigint")
-    return F.when(text.rlike(_DIGITS), text.try_cast("bigint")).when(text.rlike(_WHOLE_FLOAT), as_float)
+    number = to_double(col)
+    whole = (number == F.floor(number)) & (number >= -_LONGS) & (number < _LONGS)
+    return F.when(text.rlike(_DIGITS), text.try_cast("bigint")).when(whole, number.try_cast("bigint"))
 
 
 def mask_seconds(value: Column, limit: float = SECONDS_LIMIT) -> Column:

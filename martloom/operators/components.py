@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.storage import store
+
 # Labels for extremes, table rows, and the share two axes should reach.
 EXTREMES = 10
-LABEL_ALL_BELOW = 100
 WORST = 20
 ENOUGH_SHARE = 0.60
 
@@ -83,12 +84,13 @@ class Components:
         return sum(terms[1:], terms[0])
 
     def extremes(self, df: DataFrame, id_column: str, pc_x: int = 1, pc_y: int = 2, k: int = EXTREMES) -> DataFrame:
-        """The points furthest from the origin of a plane; all of them when there are few."""
+        """The k points furthest from the origin of a plane."""
+        return self.distances(df, id_column, pc_x, pc_y).orderBy(F.desc("dist"), F.asc(id_column)).limit(k)
+
+    def distances(self, df: DataFrame, id_column: str, pc_x: int = 1, pc_y: int = 2) -> DataFrame:
+        """Every point of a plane with its distance from the origin."""
         plane = self.scores(df, [id_column], [pc_x, pc_y])
-        away = plane.withColumn("dist", F.sqrt(F.pow(f"pc{pc_x}", F.lit(2)) + F.pow(f"pc{pc_y}", F.lit(2))))
-        if self.rows < LABEL_ALL_BELOW:
-            return away
-        return away.orderBy(F.desc("dist"), F.asc(id_column)).limit(k)
+        return plane.withColumn("dist", F.sqrt(F.pow(f"pc{pc_x}", F.lit(2)) + F.pow(f"pc{pc_y}", F.lit(2))))
 
     def quality(self, df: DataFrame, id_column: str, pc_x: int = 1, pc_y: int = 2) -> DataFrame:
         """Squared cosine per row: how much of it a plane shows."""
@@ -117,6 +119,17 @@ def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in skip]
 
 
+def fit_usable(
+    df: DataFrame, features: list[str] | None = None, missing: str = "drop", components: int | None = None
+) -> tuple[DataFrame, Components]:
+    """(rows, fit): the rows that `missing` leaves, stored, and the fit on exactly those.
+
+    Scores, extremes and quality of a `drop` fit belong to these rows; on others they would fill means.
+    """
+    rows = store(usable_rows(df, missing), "usable_rows") if missing == "drop" else usable_rows(df, missing)
+    return rows, fit_components(rows, features, "impute", components)
+
+
 def usable_rows(df: DataFrame, missing: str) -> DataFrame:
     """`impute` keeps all rows and fills means later; `drop` keeps complete, distinct rows."""
     if missing == "impute":

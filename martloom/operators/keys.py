@@ -37,8 +37,7 @@ def dense_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     starts = [0, *accumulate(sizes)]
     offset = F.lit(0) if len(sizes) < 2 else F.get(F.array(*[F.lit(s) for s in starts[:-1]]), run)
     number = offset + F.col(_POSITION).bitwiseAND((1 << _ROW_BITS) - 1) + 1
-    key_type = "int" if starts[-1] < 2**31 else "bigint"
-    return stored.select(number.cast(key_type).alias(key), *[F.col(f"`{c}`") for c in rows.columns])
+    return stored.select(number.cast("bigint").alias(key), *[F.col(f"`{c}`") for c in rows.columns])
 
 
 def attach_key(

@@ -187,11 +187,10 @@ def code_dims(frames: list[tuple[DataFrame, list[tuple[str, str, str]]]]) -> dic
     if not parts:
         return {}
     codes = dense_key(_union(parts).dropna().distinct(), "position", ["table", "code"])
-    codes = store(codes, "codes")
     first = {r["table"]: r["start"] for r in codes.groupBy("table").agg(F.min("position").alias("start")).collect()}
     return {
         table: codes.filter(F.col("table") == table).select(
-            (F.col("position") - (first.get(table, 1) - 1)).cast("int").alias(key), F.col("code").alias(column)
+            (F.col("position") - (first.get(table, 1) - 1)).cast("bigint").alias(key), F.col("code").alias(column)
         )
         for table, key, column in built
     }

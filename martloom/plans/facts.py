@@ -90,7 +90,7 @@ def attach_location_wide(staged: DataFrame, location: DataFrame, columns: list[s
 def attach_code(staged: DataFrame, dim: DataFrame | None, column: str, key: str) -> DataFrame:
     """Key of a conformed code; NULL throughout when the list or the column is absent."""
     if dim is None or column not in staged.columns:
-        return staged.withColumn(key, F.lit(None).cast("int"))
+        return staged.withColumn(key, F.lit(None).cast("bigint"))
     return attach_key(staged, dim, [(conform_text(F.col(column)), column)], key)
 
 

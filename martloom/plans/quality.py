@@ -9,9 +9,6 @@ from martloom.functions.times import parse_datetime
 from martloom.plans.temporal import total
 from martloom.storage import store
 
-# Fixed value: distinct values listed in a report.
-LISTED = 10
-
 
 def key_health(dim: DataFrame, fact: DataFrame, key: str, foreign_key: str) -> DataFrame:
     """One row: null keys, repeated keys (nulls included) and null foreign keys."""
@@ -37,11 +34,12 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str) ->
     return used.join(known, "key", "left_anti")
 
 
-def orphan_report(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str, listed: int = LISTED) -> DataFrame:
-    """The number of orphan rows beside the first few orphan keys, one row per listed key."""
+def orphan_report(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str, listed: int = 10) -> DataFrame:
+    """Always one row: how many rows and keys are orphans, and the first `listed` of the keys."""
     orphans = store(orphan_keys(fact, dim, foreign_key, key), "orphans")
-    rows = orphans.agg(zero_sum(F.col("rows"))).scalar()
-    return orphans.orderBy("key").limit(listed).select("key", rows.alias("orphan_rows"))
+    first = orphans.orderBy("key").limit(listed).agg(F.array_sort(F.collect_list("key")).alias("first_keys"))
+    totals = orphans.agg(zero_sum(F.col("rows")).alias("orphan_rows"), F.count("*").alias("orphan_keys"))
+    return totals.withColumn("first_keys", first.scalar())
 
 
 def key_consistency(dim: DataFrame, key: str = "date_key", year: str = "year") -> DataFrame:
@@ -53,10 +51,10 @@ def key_consistency(dim: DataFrame, key: str = "date_key", year: str = "year") -
     )
 
 
-def years_in(fact: DataFrame, foreign_key: str, listed: int = LISTED) -> DataFrame:
-    """The first distinct years found in a date key."""
+def years_in(fact: DataFrame, foreign_key: str, first: int | None = None) -> DataFrame:
+    """The distinct years found in a date key, or the `first` of them."""
     years = fact.select(F.floor(F.col(foreign_key) / 10000).cast("int").alias("year")).dropna().distinct()
-    return years.orderBy("year").limit(listed)
+    return years if first is None else years.orderBy("year").limit(first)
 
 
 def calendar_counts(fact: DataFrame, dim: DataFrame, foreign_key: str, year: int) -> DataFrame:

@@ -21,12 +21,16 @@ _FEATURE = "STRUCT<properties: MAP<STRING, STRING>, geometry: STRUCT<type: STRIN
 _POLYGON = "ARRAY<ARRAY<ARRAY<DOUBLE>>>"
 
 
-def read_text_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_text_table(
+    spark: SparkSession, path: str, columns: list[str] | None = None, line_breaks: bool = True
+) -> DataFrame:
     """A CSV with header, every column STRING and null tokens as NULL.
 
-    Nothing is inferred, so no extra pass over the file; `columns` must all be present.
+    Nothing is inferred, so no extra pass over the file; `columns` must all be present. A quoted field
+    may hold line breaks, so each file is read by one task and large inputs should come as many
+    files. Without `line_breaks`, for files known to have none, a file is read in splits.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks).csv(path)
     if columns is not None:
         missing = [c for c in columns if c not in raw.columns]
         if missing:

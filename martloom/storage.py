@@ -43,13 +43,3 @@ def store(df: DataFrame, label: str) -> DataFrame:
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether `df` has at most `rows` rows; on a stored table this reads footers or one limit."""
     return df.limit(rows + 1).count() <= rows
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a table out to all cores when it has several splits but fewer than cores.
-
-    Worth it before row-heavy work such as parsing text. A table with enough splits, which is any
-    big one, is returned as it is and not moved. Pass a plain scan, not a query result.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if 1 < scan.rdd.getNumPartitions() < cores else scan

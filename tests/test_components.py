@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from martloom.operators.components import correlation_table, fit_components, numeric_columns
+from martloom.operators.components import correlation_table, fit_components, fit_usable, numeric_columns
 from martloom.plans.multivariate import grouped_scores
 
 
@@ -70,7 +70,9 @@ def test_extremes_and_quality(data):
     worst = fit.worst(df, "id").collect()
     assert len(worst) == 20 and worst[0]["quality"] == min(q[2] for q in quality.values())
     few = df.filter("id < 30")
-    assert fit_components(few, FEATURES).extremes(few, "id").count() == 30
+    small = fit_components(few, FEATURES)
+    assert small.extremes(few, "id").count() == 10 and small.extremes(few, "id", k=15).count() == 15
+    assert small.distances(few, "id").count() == 30
 
 
 def test_planes_and_component_limit(spark, data):
@@ -100,6 +102,9 @@ def test_drop_keeps_complete_distinct_rows(spark):
     fit = fit_components(df, ["a", "b"], missing="drop")
     _, values, _ = direct([(1, 2), (3, 1), (4, 9)])
     assert fit.rows == 3 and fit.values == pytest.approx(list(values))
+    kept, same = fit_usable(df, ["a", "b"])
+    assert same.values == fit.values and sorted(map(tuple, kept.collect())) == [(1, 2), (3, 1), (4, 9)]
+    assert same.scores(kept, ["a"]).count() == same.distances(kept, "a").count() == 3
 
 
 def test_numeric_columns_and_groups(spark):

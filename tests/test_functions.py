@@ -28,16 +28,16 @@ def test_flags(one):
 
 
 def test_whole_numbers(one):
-    good = ["10001", "10001.0", " 10001 ", "1e4", "-5", "+7.", "9007199254740993"]
-    assert one(numbers.to_long, good) == [10001, 10001, 10001, 10000, -5, 7, 9007199254740993]
-    bad = ["abc", "10001-1234", "1,000", "1d", "10001.5", "", "inf", "nan", ".", "1e400", "99999999999999999999", None]
+    good = ["10001", "10001.0", " 10001 ", "1e4", "-5", "+7.", "9007199254740993", "1.50e2", "1500e-1", "1234567890.5e1", "0" * 400 + "7"]
+    assert one(numbers.to_long, good) == [10001, 10001, 10001, 10000, -5, 7, 9007199254740993, 150, 150, 12345678905, 7]
+    bad = ["abc", "10001-1234", "1,000", "1d", "10001.5", "", "inf", "nan", ".", "1e400", "1e305", "99999999999999999999", "1e19", None]
     assert one(numbers.to_long, bad) == [None] * len(bad)
 
 
 def test_doubles(one):
-    good = ["1.5", " -2 ", "1e3", ".5", "5.", "1E-2", "1e200"]
-    assert one(numbers.to_double, good) == [1.5, -2.0, 1000.0, 0.5, 5.0, 0.01, 1e200]
-    bad = ["1d", "1f", "inf", "-inf", "nan", "NaN", "1e400", "0x1p3", "e5", ".", "", "1 2", None]
+    good = ["1.5", " -2 ", "1e3", ".5", "5.", "1E-2", "1e305", "1234567890.5e1", "-" + "9" * 308, "0." + "0" * 320 + "1e330"]
+    assert one(numbers.to_double, good) == [1.5, -2.0, 1000.0, 0.5, 5.0, 0.01, 1e305, 12345678905.0, -1e308, 1e9]
+    bad = ["1d", "1f", "inf", "-inf", "nan", "NaN", "1e400", "9" * 310, "0x1p3", "e5", ".", "", "1 2", None]
     assert one(numbers.to_double, bad) == [None] * len(bad)
 
 

@@ -59,16 +59,23 @@ def parse_datetime(spark, sf):
     "numeric_coerce",
     "o_orderkey:int whole:int measure:float",
     """SELECT o_orderkey,
-         CASE o_orderkey % 5 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 4 THEN NULL ELSE o_custkey END AS whole,
-         CASE o_orderkey % 5 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 4 THEN o_custkey + 0.5 ELSE o_custkey END AS measure FROM orders""",
+         CASE o_orderkey % 10 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN 12345678905 WHEN 6 THEN o_custkey
+              WHEN 7 THEN o_custkey WHEN 8 THEN NULL WHEN 9 THEN NULL ELSE o_custkey END AS whole,
+         CASE o_orderkey % 10 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 4 THEN o_custkey + 0.5 WHEN 5 THEN 12345678905 WHEN 6 THEN o_custkey
+              WHEN 7 THEN o_custkey WHEN 8 THEN 1e305 WHEN 9 THEN NULL ELSE o_custkey END AS measure FROM orders""",
 )
 def numeric_coerce(spark, sf):
-    case, key = F.col("o_orderkey") % 5, F.col("o_custkey").cast("string")
+    case, key = F.col("o_orderkey") % 10, F.col("o_custkey").cast("string")
     raw = (
         F.when(case == 0, F.concat(key, F.lit(".0")))
         .when(case == 1, F.concat(key, F.lit("d")))
         .when(case == 2, F.concat(key, F.lit(",0")))
         .when(case == 3, F.concat(F.lit(" "), key, F.lit(" ")))
+        .when(case == 5, F.lit("1234567890.5e1"))
+        .when(case == 6, F.concat(key, F.lit("00e-2")))
+        .when(case == 7, F.concat(key, F.lit(".0e0")))
+        .when(case == 8, F.lit("1e305"))
+        .when(case == 9, F.lit("1e400"))
         .otherwise(F.concat(key, F.lit(".5")))
     )
     return table(spark, sf, "orders").select(
@@ -400,12 +407,10 @@ def attach_dim_key(spark, sf):
     return facts.attach_code(orders, dim, "o_orderpriority", "priority_key").select("o_orderkey", "priority_key")
 
 
-def galaxy_parts(spark, sf, facts_of: str):
-    """Staged frames and shared dimensions; only a frame that becomes a fact is stored."""
-    a = needed(stage_ems(roles.raw_a(spark, sf)), EMS_NEEDS)
-    b = needed(stage_fire(roles.raw_b(spark, sf)), FIRE_NEEDS)
-    a = store(a, "staged_a") if "a" in facts_of else a
-    b = store(b, "staged_b") if "b" in facts_of else b
+def galaxy_parts(spark, sf):
+    """Staged frames, each built and parsed once, and the dimensions both facts share."""
+    a = store(needed(stage_ems(roles.raw_a(spark, sf)), EMS_NEEDS), "staged_a")
+    b = store(needed(stage_fire(roles.raw_b(spark, sf)), FIRE_NEEDS), "staged_b")
     return a, b, dims.dim_location([a, b]), dims.dim_incident_type(a, b), dims.dim_weather(roles.raw_weather(spark, sf))
 
 
@@ -424,7 +429,7 @@ SHARED_KEYS = f"""
     GALAXY,
 )
 def fact_a(spark, sf):
-    a, _, location, types, weather = galaxy_parts(spark, sf, "a")
+    a, _, location, types, weather = galaxy_parts(spark, sf)
     return facts.fact_ems(a, location, types, weather)
 
 
@@ -441,7 +446,7 @@ def fact_a(spark, sf):
     GALAXY,
 )
 def fact_b(spark, sf):
-    _, b, location, types, weather = galaxy_parts(spark, sf, "b")
+    _, b, location, types, weather = galaxy_parts(spark, sf)
     return facts.fact_fire(b, location, types, weather)
 
 
@@ -454,7 +459,7 @@ def fact_b(spark, sf):
     GALAXY,
 )
 def fact_union(spark, sf):
-    a, b, location, types, weather = galaxy_parts(spark, sf, "ab")
+    a, b, location, types, weather = galaxy_parts(spark, sf)
     both = {"EMS": facts.fact_ems(a, location, types, weather), "FIRE": facts.fact_fire(b, location, types, weather)}
     stacked = facts.combined(both, ["date_key", "location_key", "nb_interventions", "response_time"])
     return stacked.groupBy("source", "date_key", "location_key").agg(

@@ -578,19 +578,20 @@ def pca_scores(spark, sf):
     "pca_scores_grouped",
     "o_custkey:int pc1:float6 c_mktsegment:text",
     """SELECT s.o_custkey, pc1, coalesce(c_mktsegment, 'Unknown') AS c_mktsegment FROM s
-       LEFT JOIN (SELECT * FROM customer WHERE c_nationkey <> 3) ON s.o_custkey = c_custkey""",
+       LEFT JOIN (SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN c_mktsegment END AS c_mktsegment FROM customer) ON s.o_custkey = c_custkey""",
     TWO,
 )
 def pca_scores_grouped(spark, sf):
     matrix, fit = customer_fit(spark, sf)
-    mapping = table(spark, sf, "customer").filter("c_nationkey <> 3").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    segment = F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("c_mktsegment")
+    mapping = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), segment)
     return multi.grouped_scores(fit.scores(matrix, ["o_custkey"]), mapping, "o_custkey", "c_mktsegment")
 
 
 @query(
     "pca_extremes",
     "o_custkey:int dist:float6",
-    "SELECT o_custkey, sqrt(pc1 * pc1 + pc2 * pc2) AS dist FROM s QUALIFY row_number() OVER (ORDER BY round(dist, 9) DESC, o_custkey) <= CASE WHEN count(*) OVER () < 100 THEN 100 ELSE 10 END",
+    "SELECT o_custkey, sqrt(pc1 * pc1 + pc2 * pc2) AS dist FROM s QUALIFY row_number() OVER (ORDER BY round(dist, 9) DESC, o_custkey) <= 10",
     TWO,
 )
 def pca_extremes(spark, sf):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.plans import dimensions as dims
 from martloom.plans import facts
+from martloom.plans.quality import counted
 from martloom.plans.staging import EMS_NEEDS, FIRE_NEEDS, needed, stage_ems, stage_fire
 from martloom.sources.raw import read_text_table, read_weather
 from martloom.sources.tables import write_tables
-from martloom.storage import store
+from martloom.storage import kept_until_done, store
 
 
 def build_galaxy(ems: DataFrame, fire: DataFrame, sites: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
@@ -51,20 +54,27 @@ def build_star(ems: DataFrame, fire: DataFrame, sites: DataFrame) -> dict[str, D
     }
 
 
-def run_galaxy(spark: SparkSession, raw_folder: str, out_folder: str) -> None:
-    tables = build_galaxy(
-        read_text_table(spark, f"{raw_folder}/EMS.csv"),
-        read_text_table(spark, f"{raw_folder}/FIRE.csv"),
-        read_text_table(spark, f"{raw_folder}/Firehouse.csv"),
-        read_weather(spark, f"{raw_folder}/weather_nyc.csv"),
-    )
-    write_tables(tables, out_folder)
+def _counting(frames: dict[str, DataFrame]) -> tuple[list[DataFrame], Callable[[], dict[str, int]]]:
+    """The frames, and a function that tells how many rows of each were read once they have been."""
+    observed = {name: counted(df, f"rows of {name}") for name, df in frames.items()}
+    return [df for df, _ in observed.values()], lambda: {name: seen.get["rows"] for name, (_, seen) in observed.items()}
+
+
+def run_galaxy(spark: SparkSession, raw_folder: str, out_folder: str) -> dict[str, int]:
+    """Build from raw files, write all tables and clear what was stored on the way; returns rows read per file.
+
+    The weather file is optional and is counted when it is there.
+    """
+    raw = {name: read_text_table(spark, f"{raw_folder}/{name}.csv") for name in ("EMS", "FIRE", "Firehouse")}
+    frames, counts = _counting(raw | {"weather_nyc": read_weather(spark, f"{raw_folder}/weather_nyc.csv")})
+    with kept_until_done(spark):
+        write_tables(build_galaxy(*frames), out_folder)
+    return counts()
 
 
-def run_star(spark: SparkSession, raw_folder: str, out_folder: str) -> None:
-    tables = build_star(
-        read_text_table(spark, f"{raw_folder}/EMS.csv"),
-        read_text_table(spark, f"{raw_folder}/FIRE.csv"),
-        read_text_table(spark, f"{raw_folder}/Firehouse.csv"),
-    )
-    write_tables(tables, out_folder)
+def run_star(spark: SparkSession, raw_folder: str, out_folder: str) -> dict[str, int]:
+    """As `run_galaxy`, for the wider model, which has no weather."""
+    frames, counts = _counting({n: read_text_table(spark, f"{raw_folder}/{n}.csv") for n in ("EMS", "FIRE", "Firehouse")})
+    with kept_until_done(spark):
+        write_tables(build_star(*frames), out_folder)
+    return counts()

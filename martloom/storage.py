@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +25,16 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _own_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="martloom-"))
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="martloom-")
+    return _own_folders[context.applicationId]
+
+
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}{_scope.get()}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -30,7 +42,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 
     What one application writes lies under its id, so a finished application can be cleaned up whole.
     """
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{label}"
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}/{label}"
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -40,6 +52,20 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept_until_done(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside the block is deleted at its end; results must be written elsewhere by then."""
+    name = uuid.uuid4().hex
+    before = _scope.set(f"{_scope.get()}/{name}")
+    try:
+        yield
+    finally:
+        path = _application_folder(spark)
+        _scope.reset(before)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether `df` has at most `rows` rows; on a stored table this reads footers or one limit."""
     return df.limit(rows + 1).count() <= rows

@@ -1,10 +1,11 @@
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators.keys import attach_key, dense_key
-from martloom.storage import fits_broadcast, store
+from martloom.storage import fits_broadcast, kept_until_done, store
 
 
 @pytest.fixture
@@ -79,6 +80,15 @@ def test_salted_side_is_not_broadcast_when_too_big(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_stored_tables_go_with_their_block(spark):
+    outer = store(spark.range(3), "outer")
+    with kept_until_done(spark):
+        inner = store(spark.range(4), "inner")
+        (name,) = {f.rsplit("/", 2)[0].removeprefix("file://") for f in inner.inputFiles()}
+        assert inner.count() == 4 and os.path.isdir(name)
+    assert not os.path.exists(name) and outer.count() == 3
+
+
 def test_storage(spark, tmp_path):
     kept = store(spark.range(10), "ids")
     assert kept.count() == 10 and len(kept.inputFiles()) >= 1

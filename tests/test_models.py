@@ -67,7 +67,8 @@ def raw(tmp_path_factory):
 @pytest.fixture(scope="module")
 def galaxy(spark, raw, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("galaxy"))
-    run_galaxy(spark, str(raw), out)
+    read = run_galaxy(spark, str(raw), out)
+    assert (read["EMS"], read["FIRE"]) == (len(EMS), len(FIRE)) and set(read) == {"EMS", "FIRE", "Firehouse", "weather_nyc"}
     names = ["Dim_Time", "Dim_Location", "Dim_Firehouse", "Dim_IncidentType", "Dim_Weather", "Fact_Incidents_EMS", "Fact_Incidents_Fire"]
     return {n: read_table(spark, out, n) for n in names}
 

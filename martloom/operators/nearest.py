@@ -9,7 +9,7 @@ far away are ruled out whole and never expanded site by site.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.storage import BROADCAST_ROWS, store
@@ -19,6 +19,7 @@ _DEPTHS = 16
 _ROOT_CELLS = 64
 _LEAF_SITES = 64  # a cell with no more sites than this is not split further
 _RESOLUTION = 1 << (_STEP * _DEPTHS)
+_SALTS = 16  # copies of cells too many to broadcast, so that points in one cell spread over tasks
 
 
 def _cell(axis: str, depth: int) -> Column:
@@ -29,12 +30,12 @@ def _squared(dx: Column, dy: Column) -> Column:
     return dx * dx + dy * dy
 
 
-def _nearest_gap(v: Column, lo: str, hi: str) -> Column:
-    return F.greatest(F.col(lo) - v, v - F.col(hi), F.lit(0.0))
+def _nearest_gap(v: Column, lo: Column, hi: Column) -> Column:
+    return F.greatest(lo - v, v - hi, F.lit(0.0))
 
 
-def _farthest_gap(v: Column, lo: str, hi: str) -> Column:
-    return F.greatest(F.abs(v - F.col(lo)), F.abs(v - F.col(hi)))
+def _farthest_gap(v: Column, lo: Column, hi: Column) -> Column:
+    return F.greatest(F.abs(v - lo), F.abs(v - hi))
 
 
 def _cells(placed: DataFrame, depth: int) -> DataFrame:
@@ -45,29 +46,40 @@ def _cells(placed: DataFrame, depth: int) -> DataFrame:
 
 
 def _constants(boxes: list[tuple]) -> Column:
-    """A few cells as generated rows, in the columns of `_cells`."""
+    """A few cells as one array, in the fields of `_cells`."""
     rows = ", ".join(
         f"named_struct('kx', {kx}L, 'ky', {ky}L, 'bx0', {bx0!r}D, 'bx1', {bx1!r}D, 'by0', {by0!r}D, 'by1', {by1!r}D)"
         for kx, ky, bx0, bx1, by0, by1 in boxes
     )
-    return F.expr(f"inline(array({rows}))")
+    return F.expr(f"array({rows})")
 
 
-def _measure(pairs: DataFrame) -> DataFrame:
-    """Bounds of the squared distance from a point to the nearest site in a cell's box."""
+def _bounds(box) -> Column:
+    """A cell with the bounds of the squared distance from a point to the nearest site in its box."""
     x, y = F.col("px"), F.col("py")
-    return pairs.select(
-        "point_id", "px", "py", F.col("kx").alias("cx"), F.col("ky").alias("cy"),
-        _squared(_nearest_gap(x, "bx0", "bx1"), _nearest_gap(y, "by0", "by1")).alias("low"),
-        _squared(_farthest_gap(x, "bx0", "bx1"), _farthest_gap(y, "by0", "by1")).alias("high"),
+    return F.struct(
+        box("kx").alias("cx"),
+        box("ky").alias("cy"),
+        _squared(_nearest_gap(x, box("bx0"), box("bx1")), _nearest_gap(y, box("by0"), box("by1"))).alias("low"),
+        _squared(_farthest_gap(x, box("bx0"), box("bx1")), _farthest_gap(y, box("by0"), box("by1"))).alias("high"),
     )
 
 
 def _prune(measured: DataFrame) -> DataFrame:
-    """Drop cells that are further off than another cell can be at most."""
-    reach = F.min("high").over(Window.partitionBy("point_id"))
-    near = measured.withColumn("reach", reach).filter(F.col("low") <= F.col("reach"))
-    return near.select("point_id", "px", "py", "cx", "cy")
+    """A row per cell of `cells` that is not further off than another can be at most."""
+    near = measured.withColumn("reach", F.array_min(F.transform("cells", lambda c: c["high"])))
+    kept = F.filter("cells", lambda c: c["low"] <= F.col("reach"))
+    return near.select("point_id", "px", "py", F.explode(kept).alias("c")).select("point_id", "px", "py", "c.cx", "c.cy")
+
+
+def _meet(front: DataFrame, cells: DataFrame, kx: str, ky: str, small: bool) -> DataFrame:
+    """Cells joined to the points that kept them or their parent; many cells are copied per salt of the points."""
+    condition = (F.col("cx") == F.col(kx)) & (F.col("cy") == F.col(ky))
+    if small:
+        return front.join(F.broadcast(cells), condition)
+    salted = front.withColumn("__salt", F.pmod(F.xxhash64("point_id"), F.lit(_SALTS)).cast("int"))
+    copies = cells.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return salted.join(copies, condition & (F.col("__salt") == F.col("__copy"))).drop("__salt", "__copy")
 
 
 def distinct_positions(sites: DataFrame, site_id: str, x: str, y: str) -> DataFrame:
@@ -130,22 +142,21 @@ def nearest_site(
     depths = len(cell_counts)
     root = max((d for d in range(1, depths + 1) if cell_counts[d - 1] <= _ROOT_CELLS), default=1)
     boxes = [tuple(r) for r in _cells(placed, root).collect()]
-    front = _prune(_measure(wanted.repartition("point_id").select("*", _constants(boxes))))
+    in_row = F.transform(_constants(boxes), lambda b: _bounds(lambda name: b[name]))
+    front = _prune(wanted.repartition("point_id").withColumn("cells", in_row))
     for depth in range(root + 1, depths + 1):
         cells = _cells(placed, depth).withColumns(
             {"ux": F.shiftright("kx", _STEP), "uy": F.shiftright("ky", _STEP)}
         )
-        if cell_counts[depth - 1] <= BROADCAST_ROWS:
-            cells = F.broadcast(cells)
-        children = front.join(cells, (F.col("cx") == F.col("ux")) & (F.col("cy") == F.col("uy")))
-        front = _prune(_measure(children))
+        children = _meet(front, cells, "ux", "uy", cell_counts[depth - 1] <= BROADCAST_ROWS)
+        # one aggregate per point; a kept cell has at most 64 children
+        measured = children.groupBy("point_id", "px", "py").agg(F.collect_list(_bounds(F.col)).alias("cells"))
+        front = _prune(measured)
 
     leaves = placed.select(
         _cell("gx", depths).alias("kx"), _cell("gy", depths).alias("ky"), "sx", "sy", F.col("site_id").alias("leaf_site")
     )
-    if extent["n"] <= BROADCAST_ROWS:
-        leaves = F.broadcast(leaves)
-    found = front.join(leaves, (F.col("cx") == F.col("kx")) & (F.col("cy") == F.col("ky")))
+    found = _meet(front, leaves, "kx", "ky", extent["n"] <= BROADCAST_ROWS)
     distance2 = _squared(F.abs(F.col("px") - F.col("sx")), F.abs(F.col("py") - F.col("sy")))
     best = F.min(F.struct(distance2.alias("distance2"), F.col("leaf_site").alias("site_id")))
     return (

@@ -47,6 +47,15 @@ def test_shuffled_cells_give_the_same(spark, monkeypatch):
     check(spark, [(r.uniform(-1, 10), r.uniform(-1, 10)) for _ in range(50)], sites)
 
 
+def test_a_hot_cell_is_shuffled_in_parts(spark, monkeypatch):
+    """Most points stand in one cell, and cells are too many to broadcast."""
+    monkeypatch.setattr(nearest, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(nearest, "_LEAF_SITES", 4)
+    r = random.Random(9)
+    sites = [(r.uniform(0, 9), r.uniform(0, 9)) for _ in range(80)] + [(5 + r.gauss(0, 1e-3), 5 + r.gauss(0, 1e-3)) for _ in range(40)]
+    check(spark, [(5 + r.gauss(0, 1e-3), 5.0) for _ in range(200)] + [(r.uniform(-1, 10), 3.0) for _ in range(30)], sites)
+
+
 def test_territories_keep_sites_without_areas(spark):
     points = spark.createDataFrame([("1", 0.0, 0.0), ("2", 0.2, 0.0), ("3", 9.0, 0.0)], "area_code string, x double, y double")
     response = spark.createDataFrame([("1", 10.0), ("2", 30.0), ("4", 99.0)], "area_code string, response_time double")
@@ -70,4 +79,4 @@ def test_points_are_moved_once(spark):
     p = spark.createDataFrame([(i, r.random(), r.random()) for i in range(100)], "pid long, x double, y double")
     plan = nearest.nearest_site(p, s, "pid", "x", "y", "sid", "sx", "sy")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(point_id") == 1
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan

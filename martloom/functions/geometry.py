@@ -72,7 +72,3 @@ def centroid(multipolygon: Column) -> Column:
             F.try_divide(s["mx"], 3 * s["a"]).alias("x"), F.try_divide(s["my"], 3 * s["a"]).alias("y")
         ),
     )[0]
-
-
-def euclidean(x: Column, y: Column) -> Column:
-    return F.sqrt(x * x + y * y)

@@ -142,7 +142,7 @@ def dim_incident_type(ems: DataFrame, fire: DataFrame) -> DataFrame:
 
 
 def dim_weather(weather: DataFrame) -> DataFrame:
-    """One row per hour, extremes flagged. A repeated hour keeps its smallest reading."""
+    """One row per hour, extremes flagged. A repeated hour keeps its smallest reading; one that cannot be read is dropped."""
     at = parse_iso(F.col("time").cast("string"))
     hours = (
         weather.select(
@@ -155,6 +155,7 @@ def dim_weather(weather: DataFrame) -> DataFrame:
                 to_long(F.col("weathercode")).cast("int").alias("weather_code"),
             ).alias("reading"),
         )
+        .filter(F.col("date_key").isNotNull())
         .groupBy("date_key", "hour")
         .agg(F.min("reading").alias("reading"))
         .select("date_key", "hour", "reading.*")

@@ -17,6 +17,8 @@ MEASURES = {
     "INCIDENT_TRAVEL_TM_SECONDS_QY": "travel_time",
     "INCIDENT_RESPONSE_SECONDS_QY": "response_time",
 }
+
+# Raw indicator columns, and alarm columns that are passed through.
 FLAG_COLUMNS = [
     "HELD_INDICATOR",
     "REOPEN_INDICATOR",

@@ -30,19 +30,28 @@ def fire_matrix(fact_fire: DataFrame) -> DataFrame:
     )
 
 
+def folded_responses(fact: DataFrame, key: str) -> DataFrame:
+    """(key, n, timed, total): rows, rows with a response time and their sum; join the zip to this, not to the fact."""
+    return fact.groupBy(key).agg(
+        F.count("*").alias("n"), F.count("response_time").alias("timed"), F.sum("response_time").alias("total")
+    )
+
+
 def area_matrix(ems: DataFrame, fire: DataFrame) -> DataFrame:
     """Per zip the count and mean response time of both sources, zips of either side kept.
 
-    Inputs have (zipcode, response_time). Both are folded to zips first.
+    Inputs have (zipcode, response_time), or what `folded_responses` makes of facts. Both are folded to
+    zips before they meet.
     """
 
     def per_zip(fact: DataFrame, prefix: str) -> DataFrame:
+        folded = fact if "n" in fact.columns else folded_responses(fact, "zipcode")
         return (
-            fact.filter(F.col("zipcode").isNotNull())
+            folded.filter(F.col("zipcode").isNotNull())
             .groupBy(F.col("zipcode").alias("ZIPCODE"))
             .agg(
-                F.count("*").alias(f"{prefix}_Incident_Count"),
-                F.avg("response_time").alias(f"{prefix}_Avg_Response_Time"),
+                F.sum("n").alias(f"{prefix}_Incident_Count"),
+                F.try_divide(F.sum("total"), F.sum("timed")).alias(f"{prefix}_Avg_Response_Time"),
             )
         )
 

@@ -175,7 +175,8 @@ def fire_components(spark, sf):
 def area_inputs(spark, sf) -> tuple[DataFrame, DataFrame]:
     built = galaxy(spark, sf)
     zips = built["Dim_Location"].select("location_key", "zipcode")
-    return tuple(built[f].join(zips, "location_key").select("zipcode", "response_time") for f in ("Fact_Incidents_EMS", "Fact_Incidents_Fire"))
+    folded = [multivariate.folded_responses(built[f], "location_key") for f in ("Fact_Incidents_EMS", "Fact_Incidents_Fire")]
+    return tuple(f.join(zips, "location_key").drop("location_key") for f in folded)
 
 
 AREAS = BUILT + """, areas AS (SELECT coalesce(x.zipcode, y.zipcode) AS zip, coalesce(x.n, 0) AS n1, x.r AS r1, coalesce(y.n, 0) AS n2, y.r AS r2

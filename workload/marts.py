@@ -692,10 +692,11 @@ def pca_planes(spark, sf):
 )
 def pca_matrix_area(spark, sf):
     """Orders by the customer's nation, one nation's zip unknown, against lines by the supplier's."""
-    orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
-        F.nullif("c_nationkey", F.lit(4)).alias("zipcode"), F.floor(F.col("o_totalprice") / 1000).cast("double").alias("response_time")
+    orders = table(spark, sf, "orders").withColumn("response_time", F.floor(F.col("o_totalprice") / 1000).cast("double"))
+    orders = multi.folded_responses(orders, "o_custkey").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    lines = table(spark, sf, "lineitem").withColumn("response_time", F.floor(F.col("l_extendedprice") / 100).cast("double"))
+    lines = multi.folded_responses(lines, "l_suppkey").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    folded = ["n", "timed", "total"]
+    return multi.area_matrix(
+        orders.select(F.nullif("c_nationkey", F.lit(4)).alias("zipcode"), *folded), lines.select(F.col("s_nationkey").alias("zipcode"), *folded)
     )
-    lines = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("s_nationkey").alias("zipcode"), F.floor(F.col("l_extendedprice") / 100).cast("double").alias("response_time")
-    )
-    return multi.area_matrix(orders, lines)

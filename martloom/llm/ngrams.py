@@ -18,6 +18,7 @@ are counted as words; pairs are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,13 +34,26 @@ from martloom.storage import store
 #: Imagined tokens per context.
 STRENGTH = 10.0
 #: Bytes of text in a block (a longer text is a block by itself), and requests summed in one task.
-BLOCK_BYTES = 6 << 20
-BUCKET_REQUESTS = 1_000_000
+BLOCK_BYTES = 3 << 20
+BUCKET_REQUESTS = 500_000
+
+#: Bytes of a pair's hash that are sent; its bucket tells it apart as well.
+KEY_BYTES = 6
 
 END = 0  # local number of the end token; words count from 1
 ROOT = 0
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers with their lowest bytes first, then all second bytes and so on: small ones compress to little."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
 @dataclass
 class Block:
     lengths: np.ndarray  # tokens of each text, its end included
@@ -50,7 +64,7 @@ class Block:
     @staticmethod
     def read(lengths: bytes, trained: bytes, ids: bytes, words: bytes) -> Block:
         return Block(
-            np.frombuffer(lengths, np.int64), np.frombuffer(trained, np.bool_), np.frombuffer(ids, np.int32), words.split(b"\n")
+            np.frombuffer(lengths, np.int64), np.frombuffer(trained, np.bool_), from_planes(ids, np.int32), words.split(b"\n")
         )
 
     def hashes(self) -> np.ndarray:
@@ -79,6 +93,18 @@ class Block:
         return x ^ (x >> np.uint64(32))
 
 
+def keys_of(hashes: np.ndarray, buckets: int) -> bytes:
+    """What is left of each hash once its bucket is known, in KEY_BYTES bytes."""
+    rest = (hashes // np.uint64(buckets)).astype("<u8")
+    return np.ascontiguousarray(rest.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
+
+
+def from_keys(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    wide[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    return wide.view("<u8").reshape(-1)
+
+
 def dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of requests by bucket, and where each bucket begins in it (one more than there are)."""
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
@@ -92,8 +118,8 @@ class Automaton:
     def __init__(self, words: int):
         self.words = words
         self.arcs: dict[int, int] = {}
-        self.target: list[int] = []
-        self.weight: list[float] = []
+        self.target = array("q")
+        self.weight = array("d")
         self.failure: list[int] = [ROOT]
         self.backoff: list[float] = [0.0]
 
@@ -105,8 +131,8 @@ class Automaton:
     def add_arcs(self, keys: list[int], targets: list[int], weights: list[float]) -> None:
         """Arcs keyed by state * words + word."""
         self.arcs.update(zip(keys, range(len(self.target), len(self.target) + len(keys))))
-        self.target += targets
-        self.weight += weights
+        self.target.extend(targets)
+        self.weight.extend(weights)
 
     def walk(self, tokens: list[int]) -> float:
         """The weight of one traversal from the root, left to right."""
@@ -150,7 +176,7 @@ def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame
 
         def made():
             ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            data = [np.array(lengths, np.int64).tobytes(), np.array(trained, np.bool_).tobytes(), ids.tobytes(), b"\n".join(known)]
+            data = [np.array(lengths, np.int64).tobytes(), np.array(trained, np.bool_).tobytes(), planes(ids), b"\n".join(known)]
             columns = [pa.array([keys], pa.list_(kind)), *[pa.array([x], pa.binary()) for x in data], pa.array([len(ids)], pa.int64())]
             return pa.record_batch(columns, ["keys", "lengths", "trained", "ids", "words", "tokens"])
 
@@ -179,7 +205,7 @@ def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame
     return rows.mapInArrow(encode, layout)
 
 
-_PARTS = "bucket INT, block BIGINT, words ARRAY<BINARY>, pairs ARRAY<BIGINT>, counts ARRAY<BIGINT>"
+_PARTS = "bucket INT, block BIGINT, words ARRAY<BINARY>, pairs BINARY, counts BINARY"
 
 
 def _requests(blocks: DataFrame, buckets: int, of_pairs: bool) -> DataFrame:
@@ -195,23 +221,23 @@ def _requests(blocks: DataFrame, buckets: int, of_pairs: bool) -> DataFrame:
                 else:
                     counts, hashes = block.word_counts(), block.hashes()
                 order, starts = dealt(hashes, buckets)
-                sizes = pa.array(starts, pa.int32())
-                full = [b for b in range(buckets) if starts[b + 1] > starts[b]]
-                counted = pa.ListArray.from_arrays(sizes, pa.array(counts[order], pa.int64()))
-                if of_pairs:
-                    asked = pa.ListArray.from_arrays(sizes, pa.array(hashes[order].view(np.int64)))
-                    columns = [pa.nulls(buckets, pa.list_(pa.binary())), asked]
-                else:
-                    words = block.words
-                    asked = pa.ListArray.from_arrays(sizes, pa.array([words[i] for i in order.tolist()], pa.binary()))
-                    columns = [asked, pa.nulls(buckets, pa.list_(pa.int64()))]
-                columns = [pa.array(range(buckets), pa.int32()), pa.array([row["block"]] * buckets, pa.int64()), *columns, counted]
-                parts = pa.record_batch(columns, ["bucket", "block", "words", "pairs", "counts"])
-                yield parts.take(pa.array(full, pa.int64()))
-
+                words, counts, hashes = block.words, counts[order].astype(np.int64), hashes[order]
+                for b in range(buckets):
+                    part = slice(starts[b], starts[b + 1])
+                    if part.start == part.stop:
+                        continue
+                    asked = [None, keys_of(hashes[part], buckets)] if of_pairs else [[words[i] for i in order[part].tolist()], None]
+                    row_of_part = [b, row["block"], *asked, planes(counts[part])]
+                    yield pa.record_batch([pa.array([v], t) for v, t in zip(row_of_part, types)], names)
+
+    names = ["bucket", "block", "words", "pairs", "counts"]
+    types = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
     return blocks.select("block", "lengths", "trained", "ids", "words").mapInArrow(ask, _PARTS)
 
 
+_ANSWERS = "block BIGINT, bucket INT, totals BINARY, learned BIGINT, different BIGINT"
+
+
 def _answers(requests: DataFrame, of_pairs: bool) -> DataFrame:
     """A row per request with the counts of all blocks together, in the order asked.
 
@@ -219,26 +245,28 @@ def _answers(requests: DataFrame, of_pairs: bool) -> DataFrame:
     """
 
     def answer(table: pa.Table) -> pa.Table:
-        asked = table.column("pairs" if of_pairs else "words").combine_chunks()
-        flat = pa.compute.list_flatten(asked)
-        counts = pa.compute.list_flatten(table.column("counts").combine_chunks()).to_numpy()
+        counts = [from_planes(x, np.int64) for x in table.column("counts").to_pylist()]
         if of_pairs:
-            _, place = np.unique(flat.to_numpy(), return_inverse=True)
+            keys = np.concatenate([from_keys(x) for x in table.column("pairs").to_pylist()])
+            _, place = np.unique(keys, return_inverse=True)
         else:
-            place = flat.dictionary_encode().indices.to_numpy()
-        totals = np.bincount(place, counts).astype(np.int64)
-        sizes = pa.compute.list_value_length(asked).to_numpy()
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        answers = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(totals[place], pa.int64()))
-        blocks, buckets = table.column("block").combine_chunks(), table.column("bucket").combine_chunks()
+            place = pa.compute.list_flatten(table.column("words").combine_chunks()).dictionary_encode().indices.to_numpy()
+        totals = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+        ends = np.cumsum([len(c) for c in counts])
+        answers = pa.array([planes(totals[place[e - len(c) : e]]) for c, e in zip(counts, ends)], pa.binary())
+        columns = {
+            "block": table.column("block").combine_chunks(),
+            "bucket": table.column("bucket").combine_chunks(),
+            "totals": answers,
+            "learned": pa.nulls(len(counts), pa.int64()),
+            "different": pa.nulls(len(counts), pa.int64()),
+        }
+        whole = [-1, None, None, int(totals.sum()), int((totals > 0).sum())]
         if not of_pairs:
-            whole = pa.array([[int(totals.sum()), int((totals > 0).sum())]], pa.list_(pa.int64()))
-            answers = pa.concat_arrays([answers, whole])
-            blocks = pa.concat_arrays([blocks, pa.array([-1], pa.int64())])
-            buckets = pa.concat_arrays([buckets, buckets[:1]])
-        return pa.table({"block": blocks, "bucket": buckets, "totals": answers})
+            columns = {k: pa.concat_arrays([c, pa.array([v], c.type)]) for (k, c), v in zip(columns.items(), whole)}
+        return pa.table(columns)
 
-    return requests.groupBy("bucket").applyInArrow(answer, "block BIGINT, bucket INT, totals ARRAY<BIGINT>")
+    return requests.groupBy("bucket").applyInArrow(answer, _ANSWERS)
 
 
 def scored(
@@ -260,11 +288,11 @@ def scored(
     buckets = max(1, -(-tokens // bucket_requests))
     words = store(_answers(_requests(blocks, buckets, False), False), "word_answers")
     pairs = store(_answers(_requests(blocks, buckets, True), True), "pair_answers")
-    whole = words.filter("block = -1").agg(F.sum(F.get("totals", F.lit(0))), F.sum(F.get("totals", F.lit(1)))).first()
+    whole = words.filter("block = -1").agg(F.sum("learned"), F.sum("different")).first()
     total, different = whole[0] or 0, whole[1] or 0
     own = blocks.schema["keys"].dataType.elementType.simpleString()
 
-    texts = blocks.select("block", F.lit(0).alias("part"), F.lit(0).alias("bucket"), F.lit(None).cast("array<bigint>").alias("totals"), "keys", "lengths", "trained", "ids", "words")
+    texts = blocks.select("block", F.lit(0).alias("part"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("totals"), "keys", "lengths", "trained", "ids", "words")
     nothing = [F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in ("keys", "lengths", "trained", "ids", "words")]
     answers = [
         a.filter("block >= 0").select("block", F.lit(i).alias("part"), "bucket", "totals", *nothing)
@@ -276,7 +304,7 @@ def scored(
         mine = table.filter(pa.compute.equal(table.column("part"), part)).sort_by("bucket")
         totals = np.zeros(len(hashes), np.int64)
         if len(order):
-            totals[order] = pa.compute.list_flatten(mine.column("totals").combine_chunks()).to_numpy()
+            totals[order] = np.concatenate([from_planes(x, np.int64) for x in mine.column("totals").to_pylist()])
         return totals
 
     def score(table: pa.Table) -> pa.Table:

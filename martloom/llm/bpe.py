@@ -36,7 +36,7 @@ REMEMBERED_PAIRS = 200_000
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _letters_of_bytes() -> dict[str, int]:
+def letters_of_bytes() -> dict[str, int]:
     """The visible character that stands for each byte in the vocabulary file."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shifted = [b for b in range(256) if b not in set(plain)]
@@ -49,7 +49,7 @@ class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
-        letters = _letters_of_bytes()
+        letters = letters_of_bytes()
         raw = lambda token: bytes(letters[c] for c in token)
         model = described["model"]
         special = {t["content"]: t["id"] for t in described["added_tokens"]}

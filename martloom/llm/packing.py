@@ -11,15 +11,18 @@ all and not a few per group.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_left, bisect_right
 from functools import reduce
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.bpe import letters_of_bytes
 from martloom.llm.rows import ROW, byte_texts, numbered, tokenizer_path, word_runs
 from martloom.storage import store
 
@@ -42,6 +45,10 @@ ENTRY_BYTES = 170
 MARKS = b".,;:!?"
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Words:
     """Ids of whole texts by the tokenizers library, word by word.
 
@@ -54,6 +61,7 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = {b: letter for letter, b in letters_of_bytes().items()}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.held = 0
@@ -82,9 +90,21 @@ class Words:
         return b"".join(map(self.known.__getitem__, words))
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, found):
-            self._keep(word, np.array(encoding.ids, "<u4").tobytes())
+        other, tokenize = [], self.tokenizer.model.tokenize
+        for word in words:
+            # letters that normalising leaves alone are one piece, which the model takes directly
+            if word.isalpha() and word.islower():
+                piece = word.decode()
+            else:
+                text = word.decode()
+                if not text.isalpha() or text != text.lower() or not is_normalized("NFC", text):
+                    other.append(word)
+                    continue
+                piece = word.decode("latin-1").translate(self.letters)
+            self._keep(word, _packed([t.id for t in tokenize(piece)]))
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)
+        for word, encoding in zip(other, found):
+            self._keep(word, _packed(encoding.ids))
 
     def _keep(self, word: bytes, ids: bytes) -> None:
         self.known[word] = ids

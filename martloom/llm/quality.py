@@ -9,8 +9,6 @@ to have a reference.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +22,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 MARKS = ".,;:!?'\"()-"
 SYMBOLS = "#*$%&|<>"
 RARE_SYMBOLS = "@[]\\^_`{}~/+="
-CLASSES = ("lower", "upper", "digits", "blanks", "marks", "symbols", "other")
+CLASSES = ("lower", "upper", "digits", "blanks", "marks", "symbols", "rare", "other")
 WINDOW = 5
 LEAST_WORDS = 10
 REPEATED_PERCENT = 20
@@ -46,10 +44,6 @@ class Limits:
     language_share: float = 0.001
 
 
-def _count(text: Column, characters: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
-
-
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES + "+", -1), "")
 
@@ -62,10 +56,10 @@ def _repeated(words: Column) -> Column:
     """
     starts = lambda n: F.sequence(F.lit(1), n)
     hashes = lambda n: F.transform(starts(n), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
-    windows = lambda n: F.array_sort(
+    windows = lambda n: F.sort_array(
         F.transform(starts(n), lambda i: F.struct(F.array_join(F.slice(words, i, WINDOW), " ").alias("w"), i.alias("at")))
     )
-    twice = lambda s: F.array_sort(
+    twice = lambda s: F.sort_array(
         F.array_compact(
             F.transform(
                 s,
@@ -87,16 +81,21 @@ def _repeated(words: Column) -> Column:
     )
 
 
-def _classes(text: Column) -> dict[str, Column]:
-    known = {
-        "lower": _count(text, LOWER),
-        "upper": _count(text, UPPER),
-        "digits": _count(text, DIGITS),
-        "blanks": _count(text, BLANKS),
-        "marks": _count(text, MARKS),
-        "symbols": _count(text, SYMBOLS + RARE_SYMBOLS),
-    }
-    return known | {"other": F.char_length(text) - reduce(add, known.values())}
+def _kinds(text: Column) -> Column:
+    """The text with each character of a class as one character that stands for the class, without lower-case letters.
+
+    One pass over the text; the classes are then counted on what is left.
+    """
+    kinds = {"A": UPPER, "0": DIGITS, " ": BLANKS, ".": MARKS, "#": SYMBOLS, "~": RARE_SYMBOLS}
+    return F.translate(text, "".join(kinds.values()) + LOWER, "".join(k * len(v) for k, v in kinds.items()))
+
+
+def _classes(text: Column, kinds: Column) -> Column:
+    """Characters of each of CLASSES as an array of doubles; `kinds` is `_kinds` of the text."""
+    count = lambda k: F.octet_length(kinds) - F.octet_length(F.replace(kinds, F.lit(k)))
+    known = F.array(F.char_length(text) - F.char_length(kinds), *[count(k) for k in "A0 .#~"])
+    rest = lambda x: F.char_length(text) - F.aggregate(x, F.lit(0), lambda total, n: total + n)
+    return let(known, lambda x: F.concat(x, F.array(rest(x)))).cast("array<double>")
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -130,9 +129,9 @@ def references(docs: DataFrame, limits: Limits = Limits(), text: str = "text", l
     1 / common_share words.
     """
     body = docs.select(docs[lang].cast("string").alias("lang"), text_of(docs, text).alias("body")).filter("lang IS NOT NULL")
-    classes = body.groupBy("lang").agg(
-        F.array(*[F.sum(c).cast("double") for c in _classes(F.col("body")).values()]).alias("classes")
-    )
+    counted = body.select("lang", let(_kinds(F.col("body")), lambda k: _classes(F.col("body"), k)).alias("each"))
+    sums = [F.sum(F.get("each", F.lit(i))) for i in range(len(CLASSES))]
+    classes = counted.groupBy("lang").agg(F.array(*sums).alias("classes"))
     spoken = body.select("lang", F.explode(_words(F.lower("body"))).alias("word"))
     words = store(spoken.groupBy("lang", "word").agg(F.count("*").alias("n")), "words_of_languages")
     totals = words.groupBy("lang").agg(F.sum("n").alias("all_words"))
@@ -142,7 +141,7 @@ def references(docs: DataFrame, limits: Limits = Limits(), text: str = "text", l
         words.join(F.broadcast(heard), "lang")  # bounded by the language share
         .filter(F.col("n") >= limits.common_share * F.col("all_words"))
         .groupBy("lang", "all_words")
-        .agg(F.array_sort(F.collect_list(F.struct("word", "n"))).alias("common"))
+        .agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("common"))
     )
     counts = F.col("common.n")
     rest = F.col("all_words") - F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)
@@ -177,50 +176,55 @@ def measured(
     """
     reference = references(docs, limits, text, lang) if reference is None else reference
     known = reference.select(F.col("lang").alias("__lang"), F.struct("classes", "words", "word_counts").alias("__ref"))
-    rows = docs.withColumns({"__text": text_of(docs, text)})
-    rows = rows.join(F.broadcast(known), rows[lang].cast("string") == F.col("__lang"), "left")
-    body, ref = F.col("__text"), F.col("__ref")
-    counted = let(
-        _words(body),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            _repeated(w).alias("n_repeat_words"),
-            F.when(F.size(w) >= limits.least_words, _word_counts(F.transform(w, F.lower), ref["words"])).alias("common"),
-        ),
-    )
-    lines = F.filter(F.split(body, "\n", -1), lambda line: F.char_length(F.translate(line, BLANKS, "")) > 0)
-    rows = rows.withColumns(
-        {
-            "__counted": counted,
-            "__classes": F.struct(*[c.alias(k) for k, c in _classes(body).items()]),
-            "__dup_lines": let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-            "__symbols": _count(body, SYMBOLS).cast("long"),
-        }
-    )
-    n_words, n_repeat = F.col("__counted.n_words"), F.col("__counted.n_repeat_words")
-    classes = F.array(*[F.col(f"__classes.{k}").cast("double") for k in CLASSES])
-    chars = F.char_length(body)
-    rows = rows.withColumns(
-        {
-            "__class_distance": F.when(chars >= limits.least_chars, divergence(classes, ref["classes"])),
-            "__word_distance": divergence(F.col("__counted.common"), ref["word_counts"]),
-        }
-    )
-    failed = (n_words < LEAST_WORDS) | (100 * n_repeat > REPEATED_PERCENT * n_words)
-    close = lambda c, most: F.coalesce(F.col(c) <= most, F.lit(True))
-    diverges = ~(close("__class_distance", limits.class_distance) & close("__word_distance", limits.word_distance))
-    verdict = F.struct(
-        n_words.alias("n_words"),
-        (chars - F.col("__classes.blanks")).cast("long").alias("word_chars"),
-        F.col("__symbols").alias("n_symbols"),
-        F.col("__dup_lines").alias("n_dup_lines"),
-        n_repeat.alias("n_repeat_words"),
-        failed.alias("base_failed"),
-        (~failed & ~diverges).alias("kept"),
-        F.col("__class_distance").alias("class_distance"),
-        F.col("__word_distance").alias("word_distance"),
-    )
-    return rows.withColumn("__quality", verdict).select(*docs.columns, "__quality")
+    rows = docs.join(F.broadcast(known), docs[lang].cast("string") == F.col("__lang"), "left")
+    return rows.withColumn("__quality", _judged(text_of(docs, text), F.col("__ref"), limits)).select(*docs.columns, "__quality")
+
+
+def _judged(body: Column, ref: Column, limits: Limits) -> Column:
+    """All counts, distances and verdicts of a text.
+
+    One nested expression, in which each part is computed once: a filter on the verdict then costs
+    what the verdict costs, wherever the optimizer puts it.
+    """
+    lines = F.filter(F.split(body, "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
+    parts = F.struct(_words(body).alias("words"), _kinds(body).alias("kinds"), lines.alias("lines"))
+
+    def counted(x: Column) -> Column:
+        words = x["words"]
+        common = F.when(F.size(words) >= limits.least_words, _word_counts(F.transform(words, F.lower), ref["words"]))
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            _repeated(words).alias("n_repeat_words"),
+            (F.size(x["lines"]) - F.size(F.array_distinct(x["lines"]))).cast("long").alias("n_dup_lines"),
+            common.alias("common"),
+            _classes(body, x["kinds"]).alias("classes"),
+            F.char_length(body).cast("long").alias("chars"),
+        )
+
+    def measured_by(m: Column) -> Column:
+        of_classes = F.when(m["chars"] >= limits.least_chars, divergence(m["classes"], ref["classes"]))
+        distances = F.struct(of_classes.alias("classes"), divergence(m["common"], ref["word_counts"]).alias("words"))
+        return let(distances, lambda d: verdict(m, d))
+
+    def verdict(m: Column, d: Column) -> Column:
+        n_words, n_repeat = m["n_words"], m["n_repeat_words"]
+        failed = (n_words < LEAST_WORDS) | (100 * n_repeat > REPEATED_PERCENT * n_words)
+        close = lambda c, most: F.coalesce(c <= most, F.lit(True))
+        near = close(d["classes"], limits.class_distance) & close(d["words"], limits.word_distance)
+        of_class = lambda name: F.get(m["classes"], F.lit(CLASSES.index(name))).cast("long")
+        return F.struct(
+            n_words.alias("n_words"),
+            (m["chars"] - of_class("blanks")).alias("word_chars"),
+            of_class("symbols").alias("n_symbols"),
+            m["n_dup_lines"].alias("n_dup_lines"),
+            n_repeat.alias("n_repeat_words"),
+            failed.alias("base_failed"),
+            (~failed & near).alias("kept"),
+            d["classes"].alias("class_distance"),
+            d["words"].alias("word_distance"),
+        )
+
+    return let(parts, lambda x: let(counted(x), measured_by))
 
 
 def assessed(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -1,9 +1,9 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
-Each page names the container that dominates its text, as the path of tags and classes that leads to
-it, with numbers in classes generalised. The votes are counted per host in Spark. A page is then read again with the
-paths that won on its host: the first of them that holds most of its text is taken, or its own
-choice when none does. Menus, adverts, notices, forms, comments and the like do not count as text in either reading.
+Each page names the container that encloses all its text besides lists of links, as the path of tags and classes
+that leads to it, with numbers in classes generalised. The votes are counted per host in Spark. A page is then read
+again with the paths that won on its host: its own choice if it is one of them, or else the first that holds most of
+its text and cuts no article, or its own choice when none does. Menus, adverts, notices, forms, comments and the like do not count as text in either reading.
 """
 
 from __future__ import annotations
@@ -43,8 +43,10 @@ MARKS = frozenset(
     "toc copyright legal paywall skip".split()
 )
 OWN_HEADERS = frozenset("article entry post story".split())
+#: Inside an element with one of these names, or words of its class or id, all text belongs together.
+WHOLE = OWN_HEADERS | {"main", "content"}
 
-#: A container stands for its page's text from this share of its parent's on; the same share confirms a winner.
+#: A container that leaves links outside, or a winner of the host, must hold this share of the page's text.
 DOMINANT = 0.6
 #: A path must be chosen by this share of a host's pages, so a host has at most 1 / share paths.
 LEAST_VOTES = 0.05
@@ -62,16 +64,19 @@ _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
 @dataclass
 class Page:
-    """Elements in page order: parent, path and how much text; blocks of text with the element they stand in."""
+    """Elements in page order: parent, path and how much text, also without blocks of links only; blocks of text with
+    the element they stand in."""
 
     parents: list[int] = field(default_factory=lambda: [-1])
     paths: list[str] = field(default_factory=lambda: [""])
     container: list[bool] = field(default_factory=lambda: [True])
+    whole: list[bool] = field(default_factory=lambda: [False])
     sizes: list[int] = field(default_factory=lambda: [0])
+    prose: list[int] = field(default_factory=lambda: [0])
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
     def choice(self) -> int:
-        """The deepest container reached by always entering one that holds most of the text of the last."""
+        """The deepest container that leaves no text outside but blocks of links, and none at all of an article."""
         children: dict[int, list[int]] = {}
         for node, parent in enumerate(self.parents):
             if parent >= 0 and self.container[node]:
@@ -79,13 +84,18 @@ class Page:
         node = 0
         while node in children:
             best = max(children[node], key=lambda x: (self.sizes[x], -x))
-            if self.sizes[best] < DOMINANT * self.sizes[node] or not self.sizes[best]:
+            if not self.sizes[best] or self.prose[best] < self.prose[node]:
+                break
+            if self.sizes[best] < self.sizes[node] and (self.whole[node] or self.sizes[best] < DOMINANT * self.sizes[0]):
                 break
             node = best
         return node
 
     def text(self, path: str | None) -> str | None:
-        """Blocks under `path`; None when they are too little of the page. Without a path, those of the page's choice."""
+        """Blocks under `path`; None when they are too little of the page or a part of an article.
+
+        Without a path, those of the page's choice.
+        """
         if path is None:
             roots = {self.choice()}
         else:
@@ -94,10 +104,22 @@ class Page:
         for node, parent in enumerate(self.parents):
             inside.append(node in roots or (parent >= 0 and inside[parent]))
         taken = [text for node, text in self.blocks if inside[node]]
-        if path is not None and sum(map(len, taken)) < DOMINANT * self.sizes[0]:
+        if path is not None and (sum(map(len, taken)) < DOMINANT * self.sizes[0] or self._cuts(inside)):
             return None
         return "\n".join(taken)
 
+    def _cuts(self, inside: list[bool]) -> bool:
+        """Whether some article has blocks both inside and outside."""
+        both: dict[int, set[bool]] = {}
+        for node, _ in self.blocks:
+            here, top = node, None
+            while here >= 0:
+                top = here if self.whole[here] else top
+                here = self.parents[here]
+            if top is not None:
+                both.setdefault(top, set()).add(inside[node])
+        return any(len(x) > 1 for x in both.values())
+
 
 def _is_marked(name: str, words: list[str], in_article: bool) -> bool:
     if name in LEFT_OUT:
@@ -112,18 +134,22 @@ def _is_marked(name: str, words: list[str], in_article: bool) -> bool:
 
 def parse(source: str) -> Page:
     page = Page()
-    # the open elements: (name, node, left out, inside an article)
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # the open elements: (name, node, left out, inside an article, inside a link of the same block)
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
     held: list[str] = []
+    plain = False  # whether some of what is held is no link
     at, end = 0, len(source)
 
     def close_block(node: int) -> None:
+        nonlocal plain
         text = " ".join("".join(held).split())
         held.clear()
+        prose, plain = len(text) * plain, False
         if text:
             page.blocks.append((node, text))
             while node >= 0:
                 page.sizes[node] += len(text)
+                page.prose[node] += prose
                 node = page.parents[node]
 
     while at < end:
@@ -131,12 +157,14 @@ def parse(source: str) -> Page:
         upto = found.start() if found else end
         if upto > at and not stack[-1][2]:
             held.append(entities.unescape(source[at:upto]))
+            plain = plain or (not stack[-1][4] and any(map(str.isalnum, held[-1])))
         if not found:
             break
         at = found.end()
         if found["cdata"] is not None:
             if not stack[-1][2]:
                 held.append(found["cdata"])
+                plain = plain or not stack[-1][4]
             continue
         name = (found["name"] or "").lower()
         if not name:
@@ -174,15 +202,18 @@ def parse(source: str) -> Page:
         for kind, *values in _ATTRIBUTE.findall(found["rest"]) if "=" in found["rest"] else ():
             described.setdefault(kind.lower(), next((v for v in values if v), "").lower())
         words = [w for v in described.values() for w in _WORD.findall(v)]
-        _, parent, left_out, in_article = stack[-1]
+        _, parent, left_out, in_article, in_link = stack[-1]
         left_out = left_out or (name not in ("html", "body") and _is_marked(name, words, in_article))
         classes = ".".join(sorted({re.sub("[0-9]+", "#", c) for c in described.get("class", "").split()}))
         node = len(page.parents)
         page.parents.append(parent)
         page.paths.append(f"{page.paths[parent]}/{name}" + (f".{classes}" if classes else ""))
         page.container.append(name in CONTAINERS and not left_out)
+        page.whole.append(page.whole[parent] or (name not in ("html", "body") and not WHOLE.isdisjoint([name, *words])))
         page.sizes.append(0)
-        stack.append((name, node, left_out, in_article or name == "article"))
+        page.prose.append(0)
+        linked = name in INLINE and (in_link or (name == "a" and "href" in found["rest"].lower()))
+        stack.append((name, node, left_out, in_article or name == "article", linked))
     close_block(stack[-1][1])
     return page
 
@@ -233,12 +264,13 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
                 page = parse(source)
                 text, taken = None, None
                 if page.sizes[0]:
-                    for taken in offered or ():
+                    own = page.paths[page.choice()]
+                    for taken in () if own in (offered or ()) else offered or ():
                         text = page.text(taken)
                         if text is not None:
                             break
                     else:
-                        text, taken = page.text(None), page.paths[page.choice()]
+                        text, taken = page.text(None), own
                 texts.append(text or "")
                 paths.append(taken)
             sizes = pa.array(list(map(len, texts)), pa.int64())

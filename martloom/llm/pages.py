@@ -9,6 +9,7 @@ its text and cuts no article, or its own choice when none does. Menus, adverts,
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -42,6 +43,15 @@ MARKS = frozenset(
     "comment comments commentlist disqus replies reply respond pagination pager widget toolbar complementary contentinfo "
     "toc copyright legal paywall skip".split()
 )
+#: Marks of what readers wrote: an article inside is one of theirs and spares nothing.
+REPLIES = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: A name of two or more parts is a mark by its last part, unless it begins like this ...
+ABOUT = frozenset("with without has no not is tag category cat topic".split())
+#: ... or by its first part, if only these follow.
+PIECES = frozenset(
+    "area bar block body bottom box button buttons col column container content count form group icons inner item items left link "
+    "links list main message outer post posts primary right row secondary section slot text title top unit widget widgets wrap wrapper".split()
+)
 OWN_HEADERS = frozenset("article entry post story".split())
 #: Inside an element with one of these names, or words of its class or id, all text belongs together.
 WHOLE = OWN_HEADERS | {"main", "content"}
@@ -73,7 +83,10 @@ class Page:
     whole: list[bool] = field(default_factory=lambda: [False])
     sizes: list[int] = field(default_factory=lambda: [0])
     prose: list[int] = field(default_factory=lambda: [0])
+    marks: list[set[str]] = field(default_factory=lambda: [set()])
+    article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str]] = field(default_factory=list)
+    block_prose: list[int] = field(default_factory=list)
 
     def choice(self) -> int:
         """The deepest container that leaves no text outside but blocks of links, and none at all of an article."""
@@ -120,20 +133,65 @@ class Page:
                 both.setdefault(top, set()).add(inside[node])
         return any(len(x) > 1 for x in both.values())
 
-
-def _is_marked(name: str, words: list[str], in_article: bool) -> bool:
-    if name in LEFT_OUT:
-        return True
-    marked = set(MARKS.intersection(words))
-    if name == "header" or "header" in marked:
+    def leave_out(self) -> None:
+        """Take out the text of marked elements, except those that enclose an article or hold most of the page's text."""
+        if not any(self.marks):
+            return
+        replies = [False]
+        for node, parent in enumerate(self.parents[1:], 1):
+            replies.append(replies[parent] or not REPLIES.isdisjoint(self.marks[node]))
+        encloses = [False] * len(self.parents)
+        for node in range(len(self.parents) - 1, 0, -1):
+            encloses[node] |= self.article[node] and self.sizes[node] > 0
+            if encloses[node] and not replies[node]:
+                encloses[self.parents[node]] = True
+        # with an article elsewhere, even a long advert is one
+        most = DOMINANT * self.sizes[0] if not encloses[0] else math.inf
+        out = [False]
+        for node, parent in enumerate(self.parents[1:], 1):
+            spared = not replies[node] and (encloses[node] or self.sizes[node] >= most)
+            out.append(out[parent] or (bool(self.marks[node]) and not spared))
+        kept = [(block, prose) for block, prose in zip(self.blocks, self.block_prose) if not out[block[0]]]
+        self.container = [c and not o for c, o in zip(self.container, out)]
+        self.blocks, self.block_prose = [b for b, _ in kept], [p for _, p in kept]
+        self.sizes, self.prose = [0] * len(self.parents), [0] * len(self.parents)
+        for (node, text), prose in kept:
+            self.count(node, len(text), prose)
+
+    def count(self, node: int, size: int, prose: int) -> None:
+        while node >= 0:
+            self.sizes[node] += size
+            self.prose[node] += prose
+            node = self.parents[node]
+
+
+def _mark_of(token: str) -> str | None:
+    """The mark that a class, id or role is: as a whole, by its last part, or by its first with nothing telling after it."""
+    parts = [w for w in _WORD.findall(token) if not w.isdigit()]
+    if not parts or (len(parts) > 1 and parts[0] in ABOUT):
+        return None
+    if parts[-1] in MARKS:
+        return parts[-1]
+    return parts[0] if parts[0] in MARKS and PIECES.issuperset(parts[1:]) else None
+
+
+def _marks(name: str, tokens: list[str], words: list[str], in_article: bool) -> set[str]:
+    """The marks among the classes, id and role of an element; headers of articles are none."""
+    marked = {m for m in map(_mark_of, tokens) if m}
+    if in_article or not OWN_HEADERS.isdisjoint(words):
         marked.discard("header")
-        if not in_article and not OWN_HEADERS.intersection(words):
-            return True
-    return bool(marked)
+    # an article is what it says, unless a reader wrote it
+    return marked & REPLIES if name in ("article", "main") else marked
+
+
+def _is_left_out(name: str, words: list[str], in_article: bool) -> bool:
+    return name in LEFT_OUT or (name == "header" and not in_article and OWN_HEADERS.isdisjoint(words))
 
 
-def parse(source: str) -> Page:
+def parse(source: str, by_marks: bool = True) -> Page:
+    """The page read; without regard to marks when they would leave nothing of it."""
     page = Page()
+    hidden = False  # whether a mark has left out anything at once
     # the open elements: (name, node, left out, inside an article, inside a link of the same block)
     stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
     held: list[str] = []
@@ -147,10 +205,8 @@ def parse(source: str) -> Page:
         prose, plain = len(text) * plain, False
         if text:
             page.blocks.append((node, text))
-            while node >= 0:
-                page.sizes[node] += len(text)
-                page.prose[node] += prose
-                node = page.parents[node]
+            page.block_prose.append(prose)
+            page.count(node, len(text), prose)
 
     while at < end:
         found = _TAG.search(source, at)
@@ -202,20 +258,28 @@ def parse(source: str) -> Page:
         for kind, *values in _ATTRIBUTE.findall(found["rest"]) if "=" in found["rest"] else ():
             described.setdefault(kind.lower(), next((v for v in values if v), "").lower())
         words = [w for v in described.values() for w in _WORD.findall(v)]
+        tokens = [t for v in described.values() for t in v.split()]
         _, parent, left_out, in_article, in_link = stack[-1]
-        left_out = left_out or (name not in ("html", "body") and _is_marked(name, words, in_article))
+        left_out = left_out or _is_left_out(name, words, in_article)
+        marks = _marks(name, tokens, words, in_article) if by_marks and tokens and name not in ("html", "body") else set()
+        if marks and name in INLINE:
+            left_out, hidden = True, True
         classes = ".".join(sorted({re.sub("[0-9]+", "#", c) for c in described.get("class", "").split()}))
         node = len(page.parents)
         page.parents.append(parent)
         page.paths.append(f"{page.paths[parent]}/{name}" + (f".{classes}" if classes else ""))
         page.container.append(name in CONTAINERS and not left_out)
         page.whole.append(page.whole[parent] or (name not in ("html", "body") and not WHOLE.isdisjoint([name, *words])))
+        page.marks.append(marks)
+        page.article.append(name in ("article", "main"))
         page.sizes.append(0)
         page.prose.append(0)
         linked = name in INLINE and (in_link or (name == "a" and "href" in found["rest"].lower()))
         stack.append((name, node, left_out, in_article or name == "article", linked))
     close_block(stack[-1][1])
-    return page
+    marked = hidden or any(page.marks)
+    page.leave_out()
+    return parse(source, False) if marked and not page.sizes[0] else page
 
 
 def host_of(url: Column) -> Column:

@@ -36,3 +36,18 @@ def test_a_host_that_agrees_on_the_inner_part_loses_nothing(spark):
     docs = spark.createDataFrame([(i, u, f"<html><body>{b}</body></html>") for i, u, b in rows], LAYOUT)
     got = {r.page_id: r.text for r in main_texts(docs).collect()}
     assert all(got[i].startswith("Title\nlead\nlong") for i in (40, 41, 42, 43, 99)) and got[3].startswith("long")
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<div class='content-sidebar-wrap'><p>a text</p></div><div class=sidebar>no</div>", "a text"),
+    ("<div class='with-sidebar'><p>a text</p></div><div id=left-sidebar>no</div>", "a text"),
+    ("<article class='post tag-newsletter category-ads'><p>a</p></article>", "a"),
+    ("<div class='sidebar'><article><p>a</p></article><div class='share-buttons'>no</div></div><p>b</p>", "a\nb"),
+    ("<div class='banner'><p>" + "most " * 20 + "</p></div><p>b</p>", ("most " * 20).strip() + "\nb"),
+    ("<div class='related'><p>only text</p></div>", "only text"),
+    ("<p><span class='promo'>only text</span></p>", "only text"),
+    ("<p>a</p><div id=comments><article class='comment'><p>" + "reader " * 20 + "</p></article></div>", "a"),
+    ("<p>a text</p><div class='related-posts'>no</div><div class='site-header'>no</div><ul class='nav-links'><li>no</ul>", "a text"),
+])
+def test_marks_do_not_take_wrappers_and_articles(body, text):
+    assert text_of(body) == text

@@ -44,7 +44,20 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+# The kinds of Creative Commons licenses in all their versions.
+CREATIVE_COMMONS = tuple(
+    (f"cc-{kind}", f"Licensed under CC {kind.upper()} {version}")
+    for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")
+    for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+)
+
+#: What `licensed` looks for: the notices, and those of every kind.
+LICENSES = tuple(dict.fromkeys(TEMPLATES + CREATIVE_COMMONS))
+
 THRESHOLD = 0.85
+#: Templates of fewer different words are notices: all of their words must stand in order, with few others between.
+NOTICE_WORDS = 10
+NOTICE_GAP = 4
 #: Templates go to every task, so there may only be so many words of them.
 TEMPLATE_WORDS = 200_000
 
@@ -105,6 +118,97 @@ class Templates:
         return found
 
 
+class Licenses(Templates):
+    """Templates that are told apart: short ones by all their words in order, long ones by those that others lack.
+
+    Templates of one length class, up to a power of two, share blocks twice that long, so a short template is not
+    looked for in the block of a long one. Where two labels are found over one another, and the words of the one
+    template alone would do for the other, the one with more words holds.
+    """
+
+    def __init__(self, templates, threshold: float, frequency: dict[bytes, int]):
+        super().__init__(templates, threshold, frequency)
+        self.orders = [[self.rank[w] for w in words_of(t.encode())] for _, t in templates]
+        self.notice = [len(s) < NOTICE_WORDS for s in self.sets]
+        self.needed = [len(s) if short else need for s, need, short in zip(self.sets, self.needed, self.notice)]
+        whole = [set(s) for s in self.sets]
+        self.covers: list[set[int]] = [
+            {u for u, other in enumerate(whole) if self.labels[u] != self.labels[t] and len(own & other) >= self.needed[t]}
+            for t, own in enumerate(whole)
+        ]
+        self.telling = [set().union(*(own - whole[u] for u in over)) for own, over in zip(whole, self.covers)]
+        # by length class, the templates that a word is one of the first of
+        self.first: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        for t, (words, need) in enumerate(zip(self.sets, self.needed)):
+            size = 1 << max(0, len(self.orders[t]) - 1).bit_length()
+            by_word = self.first.setdefault(size + NOTICE_GAP if self.notice[t] else size, {})
+            for at, w in enumerate(words[: len(words) - need + 1]):
+                by_word.setdefault(w, []).append((t, at))
+        self.any_first = frozenset(w for by_word in self.first.values() for w in by_word)
+
+    def matches(self, words: list[bytes]) -> list[tuple[int, int, float]]:
+        """(template, first word of the passage, containment) of every passage that no other template explains better."""
+        rank = self.rank
+        known = [(i, rank[w]) for i, w in enumerate(words) if w in rank]
+        if self.any_first.isdisjoint(r for _, r in known):
+            return []
+        places = [i for i, _ in known]
+        spans: set[tuple[int, int, int, int]] = set()
+        for step, by_word in self.first.items():
+            blocks = {max(b, 0) for i, r in known if r in by_word for b in (i // step, i // step - 1)}
+            for b in blocks:
+                part = known[bisect_left(places, b * step) : bisect_left(places, (b + 2) * step)]
+                block = sorted({r for _, r in part})
+                tried: set[int] = set()
+                for at, r in enumerate(block):
+                    for t, place in by_word.get(r, ()):
+                        if t in tried:
+                            continue
+                        tried.add(t)
+                        own, need = self.sets[t], self.needed[t]
+                        if len(block) < need or 1 + min(len(block) - at - 1, len(own) - place - 1) < need:
+                            continue
+                        common = set(own).intersection(block)
+                        if len(common) >= need and self.telling[t] <= common:
+                            spans.update((t, *x) for x in (self._in_order(t, part) if self.notice[t] else self._tight(common, part)))
+        kept = []
+        for t, lo, hi, n in sorted(spans):
+            if not any(u in self.covers[t] and m > n and a <= hi and lo <= z for u, a, z, m in spans):
+                kept.append((t, lo, n / len(self.sets[t])))
+        return kept
+
+    def _in_order(self, t: int, part: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(first, last, different words) of the passages that hold all words of the template in their order."""
+        order, ends = self.orders[t], {}
+        for k, (lo, r) in enumerate(part):
+            if r != order[0]:
+                continue
+            n, hi = 0, lo
+            for i, other in part[k:]:
+                if i - lo >= len(order) + NOTICE_GAP:
+                    break
+                if other == order[n]:
+                    n, hi = n + 1, i
+                    if n == len(order):
+                        ends[hi] = lo  # the last start before an end is the tightest
+                        break
+        return [(lo, hi, len(self.sets[t])) for hi, lo in ends.items()]
+
+    @staticmethod
+    def _tight(common: set[int], part: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(first, last, different words) of the shortest passage that holds all common words."""
+        part = [(i, r) for i, r in part if r in common]
+        held, left, best = Counter(), 0, None
+        for i, r in part:
+            held[r] += 1
+            while held[part[left][1]] > 1:
+                held[part[left][1]] -= 1
+                left += 1
+            if len(held) == len(common) and (best is None or i - part[left][0] < best[1] - best[0]):
+                best = part[left][0], i
+        return [(*best, len(common))] if best else []
+
+
 def frequencies(docs: DataFrame, templates, text: str = "text") -> dict[bytes, int]:
     """In how many rows each word of the templates occurs, over the whole table."""
     wanted = frozenset(w for _, t in templates for w in words_of(t.encode()))
@@ -143,6 +247,7 @@ def scanned(
     text: str = "text",
     templates=TEMPLATES,
     threshold: float = THRESHOLD,
+    kind_of: type[Templates] = Templates,
 ) -> DataFrame:
     """One row per row of `docs`: key, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks.
 
@@ -154,7 +259,7 @@ def scanned(
     size = sum(len(words_of(t.encode())) for _, t in templates)
     if size > TEMPLATE_WORDS:
         raise ValueError(f"templates hold {size} words, more than the {TEMPLATE_WORDS} a task may get")
-    found = Templates(templates, threshold, frequencies(docs, templates, text))
+    found = kind_of(templates, threshold, frequencies(docs, templates, text))
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
 
     def scan(batches):
@@ -175,3 +280,8 @@ def scanned(
 
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(scan, f"`{key}` {kind}, {_LAYOUT}")
+
+
+def licensed(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=LICENSES, threshold: float = THRESHOLD) -> DataFrame:
+    """The columns of `scanned`, with templates told apart as `Licenses` does; n_blocks counts the passages."""
+    return scanned(docs, key, text, templates, threshold, Licenses)

@@ -90,7 +90,7 @@ def op4_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scanned(table(spark, sf_dir, "documents"))
+    return licenses.licensed(table(spark, sf_dir, "documents"))
 
 
 def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.llm.license_texts import TEXTS
 from martloom.llm.rows import byte_texts
 
 # Phrases that name a license by themselves.
@@ -51,8 +52,8 @@ CREATIVE_COMMONS = tuple(
     for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
 )
 
-#: What `licensed` looks for: the notices, and those of every kind.
-LICENSES = tuple(dict.fromkeys(TEMPLATES + CREATIVE_COMMONS))
+#: What `licensed` looks for: the notices, those of every kind, and paragraphs of license texts.
+LICENSES = tuple(dict.fromkeys(TEMPLATES + CREATIVE_COMMONS + TEXTS))
 
 THRESHOLD = 0.85
 #: Templates of fewer different words are notices: all of their words must stand in order, with few others between.

@@ -32,3 +32,15 @@ def test_lines_next_to_each_other_all_count():
 def test_labels_of_a_table(spark):
     docs = spark.createDataFrame([(1, "x Licensed under CC BY-NC 4.0. y"), (2, "plain"), (3, None)], "doc_id LONG, text STRING")
     assert [(r.doc_id, r.labels, r.score) for r in licensed(docs).collect()] == [(1, "cc-by-nc", 1.0), (2, "", 0.0), (3, "", 0.0)]
+
+
+@pytest.mark.parametrize("start, label", [
+    ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY", "mit"), ("Neither the name", "bsd"), ("Grant of Patent", "apache"),
+    ("You may convey verbatim", "gpl"), ("You may convey a Combined", "lgpl"), ("Notwithstanding", "agpl"),
+    ("Permission to use, copy", "isc"), ("Anyone is free to copy", "unlicense"),
+])
+def test_a_changed_body_without_a_notice(label, start):
+    (text,) = [t for _, t in LICENSES if t.startswith(start)]
+    words = text.split()
+    del words[len(words) // 2]
+    assert labels_of("x " * 90 + " ".join(words) + " y" * 90) == {label}

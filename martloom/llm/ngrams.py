@@ -1,18 +1,20 @@
 """Language-model scores by a weighted backoff automaton.
 
-Counts of words and of word pairs are gathered over all training rows. A context's continuation is smoothed
+Counts of words, of word pairs and, at order three, of triples are gathered over all training rows. A context's continuation is smoothed
 towards the word's own probability as if `strength` imagined tokens had been drawn from it,
 
     p(w | h) = (c(h w) + strength * p(w)) / (c(h) + strength),    p(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)),
 
 which sums to one for every context and has the form of a backoff: a pair that was seen is an arc with its own
 weight; any other word is reached over the failure arc of the context, whose weight is that of the
-imagined tokens, and the word's arc at the root.
+imagined tokens, and the word's arc at the root. At order three p(w | u v) is smoothed towards p(w | v) alike: a
+pair that was seen is a state, which fails to that of its second word.
 
 No task holds the whole model. Texts are stored in blocks of bounded size as local word numbers. Each
 block asks for the counts of its words and pairs; the requests are dealt to buckets by hash, summed there and answered. With
 the answers a block builds the part of the automaton that its texts can reach, and walks it. Words
-are counted as words; pairs are told apart by 64-bit hashes.
+are counted as words; pairs and triples are told apart by their bucket and 48 more bits of a hash. A block asks for a triple
+only when both of its pairs were learned from and asked for by other blocks too; in all other cases its own count is the whole.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ STRENGTH = 10.0
 BLOCK_BYTES = 3 << 20
 BUCKET_REQUESTS = 500_000
 
-#: Bytes of a pair's hash that are sent; its bucket tells it apart as well.
+#: Bytes of the hash of a pair or triple that are sent; its bucket tells it apart as well.
 KEY_BYTES = 6
 
 END = 0  # local number of the end token; words count from 1
@@ -88,9 +90,40 @@ class Block:
 
     def pair_hashes(self, codes: np.ndarray) -> np.ndarray:
         h, n = self.hashes(), np.int64(len(self.words))
-        x = h[codes // n] * np.uint64(0x9E3779B97F4A7C15) + (h[codes % n] ^ (h[codes % n] >> np.uint64(29)))
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
+        return mixed(h[codes // n], h[codes % n])
+
+    def triples(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Different triples, as place of the first two in `pairs` * words + third, and how often the learned texts have each."""
+        n, ids = np.int64(len(self.words)), self.ids
+        inner = (ids[:-2] != END) & (ids[1:-1] != END)
+        codes = np.searchsorted(pairs, ids[:-2][inner] * n + ids[1:-1][inner]) * n + ids[2:][inner]
+        learned = np.repeat(self.trained, self.lengths)[:-2][inner]
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        if not len(codes):
+            return codes, np.zeros(0, np.int64)
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        return codes[first], np.add.reduceat(learned[order].astype(np.int64), first)
+
+    def last_pairs(self, pairs: np.ndarray, triples: np.ndarray) -> np.ndarray:
+        """The place in `pairs` of the last two words of each triple."""
+        n = np.int64(len(self.words))
+        return np.searchsorted(pairs, pairs[triples // n] % n * n + triples % n)
+
+    def asked(self, pairs: np.ndarray, totals: np.ndarray, alone: np.ndarray, triples: np.ndarray) -> np.ndarray:
+        """Which triples may have counts in other blocks."""
+        open_pair = (totals > 0) & ~alone
+        return open_pair[triples // np.int64(len(self.words))] & open_pair[self.last_pairs(pairs, triples)]
+
+    def triple_hashes(self, pairs: np.ndarray, triples: np.ndarray) -> np.ndarray:
+        n = np.int64(len(self.words))
+        return mixed(self.pair_hashes(pairs)[triples // n], self.hashes()[triples % n])
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29)))
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
 
 def keys_of(hashes: np.ndarray, buckets: int) -> bytes:
@@ -123,10 +156,10 @@ class Automaton:
         self.failure: list[int] = [ROOT]
         self.backoff: list[float] = [0.0]
 
-    def add_states(self, backoff: list[float]) -> None:
-        """States that fail to the root."""
+    def add_states(self, backoff: list[float], failure: list[int] | None = None) -> None:
+        """States that fail to the root, or where `failure` says."""
         self.backoff += backoff
-        self.failure += [ROOT] * len(backoff)
+        self.failure += [ROOT] * len(backoff) if failure is None else failure
 
     def add_arcs(self, keys: list[int], targets: list[int], weights: list[float]) -> None:
         """Arcs keyed by state * words + word."""
@@ -150,10 +183,21 @@ class Automaton:
         return total
 
 
-def automaton(counts: np.ndarray, total: int, different: int, codes: np.ndarray, pair_counts: np.ndarray, strength: float) -> Automaton:
-    """The automaton over local words from their corpus counts and those of the pairs among them.
-
-    A word that was learned is a state, numbered one after the word; all others lead back to the root.
+def automaton(
+    counts: np.ndarray,
+    total: int,
+    different: int,
+    codes: np.ndarray,
+    pair_counts: np.ndarray,
+    strength: float,
+    triples: np.ndarray | None = None,
+    triple_counts: np.ndarray | None = None,
+    last_pairs: np.ndarray | None = None,
+) -> Automaton:
+    """The automaton over local words from their corpus counts and those of the pairs, and triples, among them.
+
+    A word that was learned is a state, numbered one after the word; all others lead back to the root. With
+    triples a pair that was learned is a state too, unless it ends a text.
     """
     n = len(counts)
     own = (counts + 0.5) / (total + 0.5 * (different + 1))
@@ -164,7 +208,19 @@ def automaton(counts: np.ndarray, total: int, different: int, codes: np.ndarray,
     seen = pair_counts > 0
     first, second, c = codes[seen] // n, codes[seen] % n, pair_counts[seen]
     p = (c + strength * own[second]) / (counts[first] + strength)
-    made.add_arcs(((first + 1) * n + second).tolist(), state[second].tolist(), np.log10(p).tolist())
+    goal = state[second]
+    if triples is not None:
+        inner = second != END
+        goal = np.where(inner, n + np.cumsum(inner), ROOT)
+        made.add_states(np.log10(strength / (c[inner] + strength)).tolist(), state[second[inner]].tolist())
+    made.add_arcs(((first + 1) * n + second).tolist(), goal.tolist(), np.log10(p).tolist())
+    if triples is not None:
+        of_pair, p_pair = np.zeros(len(codes), np.int64), np.zeros(len(codes))
+        of_pair[seen], p_pair[seen] = goal, p
+        met = triple_counts > 0
+        before, last, c = triples[met] // n, last_pairs[met], triple_counts[met]
+        p = (c + strength * p_pair[last]) / (pair_counts[before] + strength)
+        made.add_arcs((of_pair[before] * n + triples[met] % n).tolist(), of_pair[last].tolist(), np.log10(p).tolist())
     return made
 
 
@@ -208,6 +264,21 @@ def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame
 _PARTS = "bucket INT, block BIGINT, words ARRAY<BINARY>, pairs BINARY, counts BINARY"
 
 
+def _packed(block: int, words: list[bytes] | None, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row per bucket that the block asks, by words or else by hashes."""
+    names = ["bucket", "block", "words", "pairs", "counts"]
+    types = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+    order, starts = dealt(hashes, buckets)
+    counts, hashes = counts[order].astype(np.int64), hashes[order]
+    for b in range(buckets):
+        part = slice(starts[b], starts[b + 1])
+        if part.start == part.stop:
+            continue
+        asked = [None, keys_of(hashes[part], buckets)] if words is None else [[words[i] for i in order[part].tolist()], None]
+        row_of_part = [b, block, *asked, planes(counts[part])]
+        yield pa.record_batch([pa.array([v], t) for v, t in zip(row_of_part, types)], names)
+
+
 def _requests(blocks: DataFrame, buckets: int, of_pairs: bool) -> DataFrame:
     """A row per block and bucket: what the block asks about, and its own counts."""
 
@@ -220,18 +291,8 @@ def _requests(blocks: DataFrame, buckets: int, of_pairs: bool) -> DataFrame:
                     hashes = block.pair_hashes(codes)
                 else:
                     counts, hashes = block.word_counts(), block.hashes()
-                order, starts = dealt(hashes, buckets)
-                words, counts, hashes = block.words, counts[order].astype(np.int64), hashes[order]
-                for b in range(buckets):
-                    part = slice(starts[b], starts[b + 1])
-                    if part.start == part.stop:
-                        continue
-                    asked = [None, keys_of(hashes[part], buckets)] if of_pairs else [[words[i] for i in order[part].tolist()], None]
-                    row_of_part = [b, row["block"], *asked, planes(counts[part])]
-                    yield pa.record_batch([pa.array([v], t) for v, t in zip(row_of_part, types)], names)
+                yield from _packed(row["block"], None if of_pairs else block.words, hashes, counts, buckets)
 
-    names = ["bucket", "block", "words", "pairs", "counts"]
-    types = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
     return blocks.select("block", "lengths", "trained", "ids", "words").mapInArrow(ask, _PARTS)
 
 
@@ -241,7 +302,8 @@ _ANSWERS = "block BIGINT, bucket INT, totals BINARY, learned BIGINT, different B
 def _answers(requests: DataFrame, of_pairs: bool) -> DataFrame:
     """A row per request with the counts of all blocks together, in the order asked.
 
-    For words also a row per bucket under block -1: tokens learned, and different ones among them.
+    For words also a row per bucket under block -1: tokens learned, and different ones among them. For pairs and
+    triples the counts are doubled, and one more where no other request has the same.
     """
 
     def answer(table: pa.Table) -> pa.Table:
@@ -252,6 +314,8 @@ def _answers(requests: DataFrame, of_pairs: bool) -> DataFrame:
         else:
             place = pa.compute.list_flatten(table.column("words").combine_chunks()).dictionary_encode().indices.to_numpy()
         totals = np.bincount(place, np.concatenate(counts)).astype(np.int64)
+        if of_pairs:
+            totals = 2 * totals + (np.bincount(place) == 1)
         ends = np.cumsum([len(c) for c in counts])
         answers = pa.array([planes(totals[place[e - len(c) : e]]) for c, e in zip(counts, ends)], pa.binary())
         columns = {
@@ -276,13 +340,16 @@ def scored(
     strength: float = STRENGTH,
     block_bytes: int = BLOCK_BYTES,
     bucket_requests: int = BUCKET_REQUESTS,
+    order: int = 2,
 ) -> DataFrame:
     """One row per row of `docs`: key, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learned from rows whose crc32 of the key as text is not 1 modulo 5. Null text counts as empty and
     has the end token only. Without rows to learn from every count is 0. Repeated rows are learned from
-    and scored each for itself. An empty table gives no rows.
+    and scored each for itself. An empty table gives no rows. `order` is 2 for pairs of words, or 3 for triples too.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order} is neither 2 nor 3")
     blocks = store(_blocks(docs, key, text, block_bytes).withColumn("block", F.monotonically_increasing_id()), "text_blocks")
     tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     buckets = max(1, -(-tokens // bucket_requests))
@@ -294,10 +361,7 @@ def scored(
 
     texts = blocks.select("block", F.lit(0).alias("part"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("totals"), "keys", "lengths", "trained", "ids", "words")
     nothing = [F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in ("keys", "lengths", "trained", "ids", "words")]
-    answers = [
-        a.filter("block >= 0").select("block", F.lit(i).alias("part"), "bucket", "totals", *nothing)
-        for i, a in ((1, words), (2, pairs))
-    ]
+    answered = lambda i, a: a.filter("block >= 0").select("block", F.lit(i).alias("part"), "bucket", "totals", *nothing)
 
     def totals_of(table: pa.Table, part: int, hashes: np.ndarray) -> np.ndarray:
         order, _ = dealt(hashes, buckets)
@@ -307,14 +371,35 @@ def scored(
             totals[order] = np.concatenate([from_planes(x, np.int64) for x in mine.column("totals").to_pylist()])
         return totals
 
+    def ask_triples(table: pa.Table) -> pa.Table:
+        row = table.filter(pa.compute.equal(table.column("part"), 0)).slice(0, 1)
+        data = row.select(["block", "lengths", "trained", "ids", "words"]).to_pylist()[0]
+        block = Block.read(data["lengths"], data["trained"], data["ids"], data["words"])
+        codes, _ = block.pairs()
+        found = totals_of(table, 2, block.pair_hashes(codes))
+        triples, counts = block.triples(codes)
+        asked = block.asked(codes, found >> 1, found % 2 == 1, triples)
+        hashes = block.triple_hashes(codes, triples[asked])
+        return pa.Table.from_batches(_packed(data["block"], None, hashes, counts[asked], buckets), wanted)
+
+    wanted = pa.schema(
+        [("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.list_(pa.binary())), ("pairs", pa.binary()), ("counts", pa.binary())]
+    )
+
     def score(table: pa.Table) -> pa.Table:
         row = table.filter(pa.compute.equal(table.column("part"), 0)).select(["keys", "lengths", "trained", "ids", "words"])
         data = row.slice(0, 1).to_pylist()[0]
         block = Block.read(data["lengths"], data["trained"], data["ids"], data["words"])
         counts = totals_of(table, 1, block.hashes())
         codes, _ = block.pairs()
-        pair_counts = totals_of(table, 2, block.pair_hashes(codes))
-        made = automaton(counts, total, different, codes, pair_counts, strength)
+        found = totals_of(table, 2, block.pair_hashes(codes))
+        pair_counts, third = found >> 1, ()
+        if order == 3:
+            triples, triple_counts = block.triples(codes)
+            asked = block.asked(codes, pair_counts, found % 2 == 1, triples)
+            triple_counts[asked] = totals_of(table, 3, block.triple_hashes(codes, triples[asked])) >> 1
+            third = triples, triple_counts, block.last_pairs(codes, triples)
+        made = automaton(counts, total, different, codes, pair_counts, strength, *third)
         ends = np.cumsum(block.lengths)
         starts = ends - block.lengths
         base = np.log10((counts + 0.5) / (total + 0.5 * (different + 1)))[block.ids]
@@ -336,5 +421,8 @@ def scored(
     layout = (
         f"`{key}` {own}, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, base_score DOUBLE, score DOUBLE"
     )
-    gathered = texts.unionByName(answers[0]).unionByName(answers[1])
+    gathered = texts.unionByName(answered(1, words)).unionByName(answered(2, pairs))
+    if order == 3:
+        requests = texts.unionByName(answered(2, pairs)).groupBy("block").applyInArrow(ask_triples, _PARTS)
+        gathered = gathered.unionByName(answered(3, store(_answers(requests, True), "triple_answers")))
     return gathered.groupBy("block").applyInArrow(score, layout)

@@ -94,7 +94,7 @@ def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.scored(table(spark, sf_dir, "documents"))
+    return ngrams.scored(table(spark, sf_dir, "documents"), order=3)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

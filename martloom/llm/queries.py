@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import bpe, exact_dedup, licenses, ngrams, packing, pages, quality, simhash, toxicity, warc
+from martloom.llm import bpe, centroids, codes, exact_dedup, licenses, ngrams, packing, pages, pieces, quality, simhash, toxicity, warc
 from martloom.storage import new_path
 
 
@@ -115,6 +115,18 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_distinct_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_active_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharded_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_divergence": op2_divergence,
@@ -126,6 +138,9 @@ QUERIES = {
     "op8_nnpu_toxicity": op8_nnpu_toxicity,
     "op9_host_paths": op9_host_paths,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op11_distinct_chunks": op11_distinct_chunks,
+    "op12_active_codes": op12_active_codes,
+    "op13_sharded_kmeans": op13_sharded_kmeans,
 }
 
 ORACLES = {

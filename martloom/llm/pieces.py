@@ -1,12 +1,14 @@
-"""SentencePiece BPE through a table of distinct chunks.
+"""SentencePiece BPE through tables of distinct chunks.
 
 Where no piece of the vocabulary holds a white-space marker after another character, no merge reaches over the
 start of a marked word: text falls into chunks, each a run of markers and what follows up to the next marker,
-that are segmented apart. Each text becomes the places of its chunks in a local list, stored in
-blocks of bounded size. Chunks that are not a piece by themselves are asked for: the requests of all blocks
-meet by chunk, where each distinct one is segmented once, and the ids go back to the blocks, which join them by place.
+that are segmented apart. A task keeps a table of the distinct chunks of its texts with the ids of each, which
+is segmented once, when it is met first. A text is the list of places of its chunks in the table, and its ids
+are the table's entries joined by place. A table is bounded in bytes; a task goes on with a new one beyond.
 
-A chunk is asked for at most once by a block, so even the commonest has no more requests than there are blocks.
+One table of all chunks of the corpus was tried first: requests of all blocks of text met by chunk in a shuffle
+and went back by block. Most distinct chunks occur in one block only, so that table saved little and the
+shuffles cost more than all segmenting; the figures are in the README.
 """
 
 from __future__ import annotations
@@ -15,20 +17,19 @@ import hashlib
 import heapq
 import re
 import struct
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.llm.rows import RUN_BYTES, byte_texts, tokenizer_path
-from martloom.storage import store
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Bytes of text in a block; a longer text is a block by itself.
-BLOCK_BYTES = 6 << 20
+#: Bytes of a task's table, counted with what Python adds to each entry.
+TABLE_BYTES = 150_000_000
+ENTRY_BYTES = 300
 
 MARKER = "▁"
 # Fixed values of the model file: kinds of pieces, the model type, and the field numbers that are read.
@@ -92,8 +93,6 @@ class Model:
             self.raw.append({NORMAL: piece.replace(MARKER, " ").encode(), BYTE: b""}.get(kind, b""))
         for value, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([value])
-        # Chunks, without their first marker, that are one piece: they need no table.
-        self.alone = {p[1:].replace(MARKER, " ").encode(): i for p, i in self.ids.items() if p[0] == MARKER and self.segment(p) == [i]}
 
     def segment(self, chunk: str) -> list[int]:
         """Ids of a chunk: of neighbours whose union is a piece the best are joined first, the left ones of equals."""
@@ -173,153 +172,106 @@ def chunks(text: bytes, run_bytes: int = RUN_BYTES) -> Iterator[list[bytes]]:
         start += len(run)
 
 
-def _squeezed(places: np.ndarray) -> bytes:
-    """Places with their lowest bytes first, then the second ones and so on, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(places.view(np.uint8).reshape(len(places), 4).T).tobytes())
-
-
-def _places(data: bytes) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.int32).reshape(-1)
-
-
-def _blocks(docs: DataFrame, path: str, key: str, text: str, block_bytes: int) -> DataFrame:
-    """A row per block: keys of its texts, the number of chunks of each, places of all chunks, and the ids or else
-    the bytes of each different chunk."""
-    rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    own = rows.schema["key"].dataType.simpleString()
-
-    def cut(batches):
-        alone = model(path).alone
-        keys, lengths, parts, known, size = [], [], [], {}, 0
-
-        def made() -> pa.RecordBatch:
-            places = np.concatenate([*parts, np.zeros(0, np.int32)])
-            solved = np.fromiter((alone.get(c, -1) for c in known), np.int32, len(known))
-            columns = [
-                pa.array([keys], pa.list_(kind)),
-                pa.array([np.array(lengths, np.int64).tobytes()], pa.binary()),
-                pa.array([_squeezed(places)], pa.binary()),
-                pa.array([_squeezed(solved)], pa.binary()),
-                pa.array([[c for c in known if c not in alone]], pa.list_(pa.binary())),
-            ]
-            return pa.record_batch(columns, ["keys", "lengths", "places", "solved", "asked"])
-
-        for batch in batches:
-            kind = batch.schema.field("key").type
-            for k, data in zip(batch.column("key").to_pylist(), byte_texts(batch)):
-                n = 0
-                for run in chunks(data):
-                    for c in set(run).difference(known):
-                        known[c] = len(known)
-                    parts.append(np.fromiter(map(known.__getitem__, run), np.int32, len(run)))
-                    n += len(run)
-                keys.append(k)
-                lengths.append(n)
-                size += len(data) + 1
-                if size >= block_bytes:
-                    yield made()
-                    keys, lengths, parts, known, size = [], [], [], {}, 0
-        if keys:
-            yield made()
-
-    layout = f"keys ARRAY<{own}>, lengths BINARY, places BINARY, solved BINARY, asked ARRAY<BINARY>"
-    return rows.mapInArrow(cut, layout)
-
-
-_ANSWER = "block BIGINT, place INT, ids BINARY"
-
-
-def _segmented(requests: DataFrame, path: str) -> DataFrame:
-    """The ids of each request; each distinct chunk is segmented once, where its requests meet."""
-
-    def segment(batches):
-        pieces, last, ids = model(path), None, b""
-        for batch in batches:
-            found = []
-            for chunk in batch.column("chunk").to_pylist():
-                if chunk != last:
-                    last, ids = chunk, np.array(pieces.of_chunk(chunk), np.int32).tobytes()
-                found.append(ids)
-            yield pa.record_batch([batch.column("block"), batch.column("place"), pa.array(found, pa.binary())], ["block", "place", "ids"])
-
-    met = requests.repartition("chunk").sortWithinPartitions("chunk")
-    return met.mapInArrow(segment, _ANSWER)
-
-
-def _joined(docs: DataFrame, path: str, key: str, text: str, block_bytes: int, columns: str, describe: Callable) -> DataFrame:
-    """Per row of `docs` its key and what `describe(model, chunks' ids, places per text)` returns."""
-    blocks = store(
-        _blocks(docs, path, key, text, block_bytes).withColumn("block", F.monotonically_increasing_id()), "chunk_blocks"
-    )
-    requests = blocks.select("block", F.posexplode("asked").alias("place", "chunk"))
-    answers = _segmented(requests, path)
-    own = blocks.schema["keys"].dataType.elementType.simpleString()
-
-    def finish(table: pa.Table) -> pa.Table:
-        is_block = pa.compute.is_valid(table.column("keys"))
-        row = table.filter(is_block).slice(0, 1)
-        mine = table.filter(pa.compute.invert(is_block))
-        data = row.select(["lengths", "places", "solved"]).to_pylist()[0]
-        solved = _places(data["solved"])
-        asked = np.flatnonzero(solved < 0)
-        order = np.argsort(np.asarray(mine.column("place")), kind="stable")
-        ids = [np.int32(i).tobytes() for i in solved.tolist()]
-        found = mine.column("ids").to_pylist()
-        for place, at in zip(asked.tolist(), order.tolist()):
-            ids[place] = found[at]
-        places, ends = _places(data["places"]), np.cumsum(np.frombuffer(data["lengths"], np.int64)).tolist()
-        texts = (places[a:b].tolist() for a, b in zip([0, *ends], ends))
-        made = describe(model(path), [np.frombuffer(x, np.int32).tolist() for x in ids], texts)
-        keys = row.column("keys").combine_chunks().flatten()
-        return pa.table([keys, *made], names=[key, *[c.split()[0] for c in columns.split(", ")]])
-
-    nothing = {c: F.lit(None).cast(blocks.schema[c].dataType) for c in ("keys", "lengths", "places", "solved")}
-    sent = blocks.select("block", F.lit(None).cast("int").alias("place"), F.lit(None).cast("binary").alias("ids"), *nothing)
-    gathered = sent.unionByName(answers.withColumns(nothing))
-    return gathered.groupBy("block").applyInArrow(finish, f"`{key}` {own}, {columns}")
-
-
-def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+class ChunkTable:
+    """Distinct chunks and the ids of each, by place."""
+
+    def __init__(self, pieces: Model):
+        self.pieces = pieces
+        self.place: dict[bytes, int] = {}
+        self.ids: list[np.ndarray] = []
+        self.written: list[bytes] = []  # the ids as decimal numbers, a space after each
+        self.decoded: list[bytes] = []
+        self.bytes = 0
+
+    def places(self, run: list[bytes]) -> list[int]:
+        """The place of each chunk of `run`; new ones are segmented and added."""
+        pieces, raw = self.pieces, self.pieces.raw
+        for chunk in set(run).difference(self.place):
+            ids = pieces.of_chunk(chunk)
+            self.place[chunk] = len(self.ids)
+            self.ids.append(np.array(ids, np.int32))
+            self.written.append(" ".join(map(str, ids)).encode() + b" ")
+            self.decoded.append(b"".join([raw[i] for i in ids]))
+            self.bytes += ENTRY_BYTES + 10 * len(ids) + 2 * len(chunk)
+        return list(map(self.place.__getitem__, run))
+
+    @property
+    def full(self) -> bool:
+        return self.bytes > TABLE_BYTES
+
+
+class Encoder:
+    """Encodes texts through a table that is begun anew when it is full."""
+
+    def __init__(self, pieces: Model):
+        self.pieces, self.table = pieces, ChunkTable(pieces)
+
+    def runs(self, text: bytes) -> Iterator[tuple[ChunkTable, list[int]]]:
+        """A text as runs of places, each with the table that they are in."""
+        for run in chunks(text):
+            if self.table.full:
+                self.table = ChunkTable(self.pieces)
+            yield self.table, self.table.places(run)
+
+    def ids(self, text: bytes) -> np.ndarray:
+        found = [table.ids[p] for table, places in self.runs(text) for p in places]
+        return np.concatenate([*found, np.array([self.pieces.end], np.int32)])
+
+    def digests(self, text: bytes) -> tuple[int, str, str]:
+        """How many ids, the sha256 of them written with a space between, and that of the text they decode to."""
+        n, ids, back = 1, hashlib.sha256(), hashlib.sha256()
+        start = b" "  # the model's own, which decoding takes away
+        for table, places in self.runs(text):
+            written = b"".join(map(table.written.__getitem__, places))
+            n += written.count(b" ")
+            ids.update(written)
+            back.update(b"".join(map(table.decoded.__getitem__, places)).removeprefix(start))
+            start = b""
+        ids.update(str(self.pieces.end).encode())
+        return n, ids.hexdigest(), back.hexdigest()
+
+
+def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: key, n_tokens, ids_sha256, decoded_sha256 of its encoding and decoding.
 
     The end id is added to every text and counted. Ids are hashed as decimal numbers joined by a space.
-    Null text counts as empty, which has the end id only. Repeated rows give repeated results; equal texts equal ones; an empty table
-    gives none. Very long texts are blocks by themselves and are cut in runs. Markers in a text count as
-    spaces, as they do for the library. Columns besides key and text, whatever their names, are left aside. `path` must be readable on every executor.
+    Null text counts as empty, which has the end id only. Repeated rows give repeated results, equal texts equal ones; an
+    empty table gives none. Very long texts are cut in runs. Markers in a text count as spaces, as they do
+    for the library. Columns besides key and text, whatever their names, are left aside. `path` must be
+    readable on every executor.
     """
     path = path or tokenizer_path(VOCABULARY)
+    rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
 
-    def describe(pieces: Model, ids: list[list[int]], texts: Iterator[list[int]]) -> list[pa.Array]:
-        sizes = np.array([len(x) for x in ids], np.int64)
-        written = [(" ".join(map(str, x)) + " ").encode() for x in ids]
-        decoded = [b"".join([pieces.raw[i] for i in x]) for x in ids]
-        end, counts, hashes, back = str(pieces.end).encode(), [], [], []
-        for places in texts:
-            counts.append(int(sizes[places].sum()) + 1)
-            hashes.append(hashlib.sha256(b"".join(map(written.__getitem__, places)) + end).hexdigest())
-            back.append(hashlib.sha256(b"".join(map(decoded.__getitem__, places)).removeprefix(b" ")).hexdigest())
-        return [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(back, pa.string())]
+    def encode_and_decode(batches):
+        encoder = Encoder(model(path))
+        for batch in batches:
+            counts, ids, back = zip(*map(encoder.digests, byte_texts(batch))) if batch.num_rows else ((), (), ())
+            columns = [batch.column("key"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())]
+            yield pa.record_batch(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _joined(docs, path, key, text, block_bytes, "n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING", describe)
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(encode_and_decode, f"`{key}` {kind}, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING")
 
 
-def encoded(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The key and the array `ids` of each row of `docs`, the end id last."""
+def encoded(docs: DataFrame, path: str | None = None, text: str = "text", into: str = "ids") -> DataFrame:
+    """`docs` with an array of ids per row, the end id last. Null, empty and long texts as in `round_trip`; a column that
+    is named like `into` would be there twice."""
     path = path or tokenizer_path(VOCABULARY)
+    layout = T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
 
-    def describe(pieces: Model, ids: list[list[int]], texts: Iterator[list[int]]) -> list[pa.Array]:
-        whole = [[i for p in places for i in ids[p]] + [pieces.end] for places in texts]
-        return [pa.array(whole, pa.list_(pa.int32()))]
+    def encode(batches):
+        encoder = Encoder(model(path))
+        for batch in batches:
+            ids = pa.array([encoder.ids(x) for x in byte_texts(batch, text)], pa.list_(pa.int32()))
+            yield pa.record_batch([*batch.columns, ids], [*batch.schema.names, into])
 
-    return _joined(docs, path, key, text, block_bytes, "ids ARRAY<INT>", describe)
+    return docs.mapInArrow(encode, layout)
 
 
 def decoded(table: DataFrame, path: str | None = None, ids: str = "ids", into: str = "text") -> DataFrame:
     """`table` with the text of an array of ids; null ids count as none, control ids as nothing, and bytes that form no
     character become the replacement character. Bytes are put together over the whole text."""
-    from pyspark.sql import types as T
-
     path = path or tokenizer_path(VOCABULARY)
     layout = T.StructType([*table.schema.fields, T.StructField(into, T.StringType())])
 

@@ -32,7 +32,7 @@ def test_chunks_match_the_library(library):
             cut = [c for run in pieces.chunks(text.encode(), run_bytes) for c in run]
             if text:
                 assert b"".join(b" " + c for c in cut).decode() == " " + text.replace("▁", " ")
-            ids = [i for c in cut for i in ([own.alone[c]] if c in own.alone else own.of_chunk(c))] + [own.end]
+            ids = [i for c in cut for i in own.of_chunk(c)] + [own.end]
             assert ids == library.encode(text, add_eos=True), repr(text)
         assert own.decode(ids).decode(errors="replace") == library.decode(ids), repr(text)
 
@@ -56,26 +56,28 @@ def expected(library, rows):
 
 
 def test_query(spark, library):
-    """Nulls, empty, repeated and long texts, ties in the key, clashing columns; blocks of one and of many texts."""
+    """Nulls, empty, repeated and long texts, ties in the key, clashing columns."""
     some = [*texts(60, 5), None, "", " ", "the end " * 3000, "y" * 5000]
     rows = [(i, t, i, 1, "k", 2) for i, t in enumerate(some)] + [(None, "the end", 1, 1, "k", 2), (0, "again", 2, 1, "k", 2), (0, "again", 2, 1, "k", 2)]
     docs = spark.createDataFrame(rows, LAYOUT)
-    for block_bytes in (1, 300, 6 << 20):
-        got = pieces.round_trip(docs, block_bytes=block_bytes)
-        assert sorted(map(tuple, got.collect()), key=str) == expected(library, rows)
-    got = pieces.encoded(docs)
-    assert sorted((str(r.doc_id), r.ids) for r in got.collect()) == sorted((str(r[0]), library.encode(r[1] or "", add_eos=True)) for r in rows)
-    back = pieces.decoded(got).collect()
-    assert sorted((str(r.doc_id), r.text) for r in back) == sorted((str(r[0]), (r[1] or "").replace("▁", " ")) for r in rows)
+    assert sorted(map(tuple, pieces.round_trip(docs).collect()), key=str) == expected(library, rows)
+    got = pieces.encoded(docs, into="pieces")
+    assert sorted((str(r.doc_id), r.pieces) for r in got.collect()) == sorted((str(r[0]), library.encode(r[1] or "", add_eos=True)) for r in rows)
+    back = pieces.decoded(got, ids="pieces", into="back").collect()
+    assert sorted((str(r.doc_id), r.back) for r in back) == sorted((str(r[0]), (r[1] or "").replace("▁", " ")) for r in rows)
     assert pieces.round_trip(spark.createDataFrame([], LAYOUT)).collect() == []
 
 
-def test_requests_for_a_chunk_meet_in_one_place(spark):
-    docs = spark.createDataFrame([(i, f"qqzzx common{i % 3} qqzzx") for i in range(40)], "doc_id LONG, text STRING")
-    blocks = pieces._blocks(docs, PATH, "doc_id", "text", 1)
-    from pyspark.sql import functions as F
-
-    requests = blocks.withColumn("block", F.monotonically_increasing_id()).select("block", F.posexplode("asked").alias("place", "chunk"))
-    assert requests.count() == 80 and requests.select("chunk").distinct().count() == 4
-    met = requests.repartition("chunk").select("chunk", F.spark_partition_id().alias("p")).distinct()
-    assert met.count() == 4
+def test_a_chunk_is_segmented_once_and_full_tables_are_left(library, monkeypatch):
+    met = []
+    plain = pieces.Model.of_chunk
+    monkeypatch.setattr(pieces.Model, "of_chunk", lambda self, c: met.append(c) or plain(self, c))
+    encoder = pieces.Encoder(pieces.Model(PATH))
+    some = [*texts(300, 8), "one two three one two three"]
+    for text in some * 2:
+        assert encoder.ids(text.encode()).tolist() == library.encode(text, add_eos=True)
+    assert len(met) == len(set(met))
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 2000)
+    for text in some:
+        assert encoder.ids(text.encode()).tolist() == library.encode(text, add_eos=True)
+    assert encoder.table.bytes < 2000 + pieces.ENTRY_BYTES * 40

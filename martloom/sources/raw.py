@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.text import null_tokens_in
+from martloom.sources.records import CSV, read_csv
 
 WEATHER_SCHEMA = (
     "time STRING, temperature_2m STRING, precipitation STRING, weathercode STRING, windspeed_10m STRING"
@@ -26,11 +27,11 @@ def read_text_table(
 ) -> DataFrame:
     """A CSV with header, every column STRING and null tokens as NULL.
 
-    Nothing is inferred, so no extra pass over the file; `columns` must all be present. A quoted field
-    may hold line breaks, so each file is read by one task and large inputs should come as many
-    files. Without `line_breaks`, for files known to have none, a file is read in splits.
+    Nothing is inferred; `columns` must all be present. A file is read in splits by many tasks. Quoted
+    fields may hold line breaks, for which it is read twice; without `line_breaks`, for files known to have
+    none, once.
     """
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks).csv(path)
+    raw = read_csv(spark, path) if line_breaks else spark.read.options(**CSV, header=True).csv(path)
     if columns is not None:
         missing = [c for c in columns if c not in raw.columns]
         if missing:

@@ -1,14 +1,17 @@
 """Principal components of a few columns of a big table.
 
 The data is read once by an aggregation that brings back one number per pair of columns. The
-small matrix is solved on the driver; scores are a projection computed where the rows are.
+small matrix is solved on the driver; scores are a projection computed where the rows are. For many columns each
+task multiplies tiles of the matrix, and Spark adds up the tiles of all tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +23,11 @@ EXTREMES = 10
 WORST = 20
 ENOUGH_SHARE = 0.60
 
+# Columns from which on products are taken in tiles, the columns of a tile, and rows looked at for a centre.
+MANY_COLUMNS = 24
+TILE = 64
+CENTRE_ROWS = 1000
+
 
 @dataclass(frozen=True)
 class Components:
@@ -149,28 +157,9 @@ def fit_components(
         raise ValueError(f"columns not found: {absent}")
     data = usable_rows(df, missing).select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)])
     d = len(features)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    measures = [F.count("*").alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(d)]]
-    for i, j in pairs:
-        y, x = f"x{i}", f"x{j}"
-        measures += [
-            F.regr_count(y, x).alias(f"n_{i}_{j}"),
-            F.covar_pop(y, x).alias(f"c_{i}_{j}"),
-            F.regr_avgy(y, x).alias(f"y_{i}_{j}"),
-            F.regr_avgx(y, x).alias(f"x_{i}_{j}"),
-        ]
-    got = data.agg(*measures).first()
-    n = got["n"]
+    n, means, covariance = _moments_in_tiles(data, d) if d >= MANY_COLUMNS else _moments(data, d)
     if n < 2:
         raise ValueError("components need at least two rows")
-    means = [got[f"m{i}"] if got[f"m{i}"] is not None else 0.0 for i in range(d)]
-    covariance = np.zeros((d, d))
-    for i, j in pairs:
-        # pairs are counted where both values exist; a mean-filled value deviates by zero
-        both = got[f"n_{i}_{j}"]
-        if both:
-            about = (got[f"y_{i}_{j}"] - means[i]) * (got[f"x_{i}_{j}"] - means[j])
-            covariance[i, j] = covariance[j, i] = both * (got[f"c_{i}_{j}"] + about) / n
     spread = np.sqrt(np.diag(covariance))
     scales = np.where(spread > 0, spread, 1.0)
     correlation = covariance / np.outer(scales, scales)
@@ -191,6 +180,94 @@ def fit_components(
     )
 
 
+def _moments(data: DataFrame, d: int) -> tuple[int, list[float], np.ndarray]:
+    """Rows, means and covariance of the columns x0 to x(d-1), from one aggregate per pair."""
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    measures = [F.count("*").alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(d)]]
+    for i, j in pairs:
+        y, x = f"x{i}", f"x{j}"
+        measures += [
+            F.regr_count(y, x).alias(f"n_{i}_{j}"),
+            F.covar_pop(y, x).alias(f"c_{i}_{j}"),
+            F.regr_avgy(y, x).alias(f"y_{i}_{j}"),
+            F.regr_avgx(y, x).alias(f"x_{i}_{j}"),
+        ]
+    got = data.agg(*measures).first()
+    n = got["n"]
+    means = [got[f"m{i}"] if got[f"m{i}"] is not None else 0.0 for i in range(d)]
+    covariance = np.zeros((d, d))
+    for i, j in pairs:
+        # pairs are counted where both values exist; a mean-filled value deviates by zero
+        both = got[f"n_{i}_{j}"]
+        if both:
+            about = (got[f"y_{i}_{j}"] - means[i]) * (got[f"x_{i}_{j}"] - means[j])
+            covariance[i, j] = covariance[j, i] = both * (got[f"c_{i}_{j}"] + about) / n
+    return n, means, covariance
+
+
+_PRODUCTS = "i INT, j INT, n BIGINT, xy DOUBLE, x DOUBLE, y DOUBLE"
+
+
+def tile_products(x: np.ndarray, sums: dict[tuple[int, int], np.ndarray]) -> None:
+    """Add to each tile what the rows of `x` give: for columns i and j over the rows that have both, how many there
+    are and the sums of x_i x_j, x_i and x_j."""
+    there = ~np.isnan(x)
+    value, count = np.where(there, x, 0.0), there.astype(np.float64)
+    for a in range(0, x.shape[1], TILE):
+        for b in range(a, x.shape[1], TILE):
+            left, right = slice(a, a + TILE), slice(b, b + TILE)
+            more = np.stack(
+                [
+                    count[:, left].T @ count[:, right],
+                    value[:, left].T @ value[:, right],
+                    value[:, left].T @ count[:, right],
+                    count[:, left].T @ value[:, right],
+                ]
+            )
+            sums[a, b] = sums[a, b] + more if (a, b) in sums else more
+
+
+def _moments_in_tiles(data: DataFrame, d: int) -> tuple[int, list[float], np.ndarray]:
+    """As `_moments`, for many columns: one scan, in which every task multiplies its rows tile by tile.
+
+    A task sends each pair of columns once, whatever its rows. Values are taken from a rough centre, the means of
+    a few rows, which changes rounding only. The centre and the sums that come back are as large as the matrix to be solved.
+    """
+    rough = data.limit(CENTRE_ROWS).agg(*[F.avg(f"x{i}") for i in range(d)]).first()
+    finite = lambda v: v if v is not None and np.isfinite(v) else 0.0
+    centre = np.array([finite(v) for v in rough])
+
+    def multiply(batches) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            columns = [np.asarray(c.cast(pa.float64()).to_numpy(zero_copy_only=False), np.float64) for c in batch.columns]
+            # a null arrives as NaN; a NaN of the data counts as missing too
+            tile_products(np.stack(columns, 1) - centre, sums)
+        for (a, b), tile in sums.items():
+            i, j = (v.reshape(-1) for v in np.mgrid[a : a + tile.shape[1], b : b + tile.shape[2]])
+            flat = tile.reshape(4, -1)[:, i <= j]
+            i, j = i[i <= j], j[i <= j]
+            arrays = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(flat[0].astype(np.int64)), *[pa.array(f) for f in flat[1:]]]
+            yield pa.record_batch(arrays, ["i", "j", "n", "xy", "x", "y"])
+
+    products = data.select(*[f"x{i}" for i in range(d)]).mapInArrow(multiply, _PRODUCTS)
+    each = products.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "xy", "x", "y")]).collect()
+    rows = data.count()
+    about = np.zeros(d)
+    for r in each:
+        if r["i"] == r["j"] and r["n"]:
+            about[r["i"]] = r["x"] / r["n"]
+    covariance = np.zeros((d, d))
+    for r in each:
+        i, j = r["i"], r["j"]
+        moved = r["xy"] - about[i] * r["y"] - about[j] * r["x"] + about[i] * about[j] * r["n"]
+        covariance[i, j] = covariance[j, i] = moved / rows
+    noise = (np.abs(centre + about) * 1e-13) ** 2  # of a column whose values are all the same
+    same = np.diag(covariance) <= noise
+    covariance[same, :] = covariance[:, same] = 0.0
+    return rows, (centre + about).tolist(), covariance
+
+
 def _facing(vector: np.ndarray) -> np.ndarray:
     """Turn a component so that its strongest weight, the first on a tie, is positive."""
     size = np.abs(vector)

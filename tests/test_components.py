@@ -114,3 +114,33 @@ def test_numeric_columns_and_groups(spark):
     mapping = spark.createDataFrame([(1, "BRONX")], "ZIPCODE long, BOROUGH string")
     got = {r["ZIPCODE"]: r["BOROUGH"] for r in grouped_scores(scores, mapping, "ZIPCODE", "BOROUGH").collect()}
     assert got == {1: "BRONX", 2: "Unknown"}
+
+
+def test_many_columns_in_tiles(spark, monkeypatch):
+    """Three hundred columns with missing values: as a direct computation, in one scan besides the count."""
+    import numpy as np
+
+    from martloom.operators import components
+
+    d, rows = 300, 400
+    rng = np.random.default_rng(5)
+    mix = rng.normal(size=(6, d))
+    x = rng.normal(size=(rows, 6)) @ mix + rng.normal(size=(rows, d)) * 0.3 + rng.normal(size=d) * 1e4
+    x[rng.random((rows, d)) < 0.02] = np.nan
+    x[:, 7] = 3.0
+    data = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(data, ", ".join(f"c{i} DOUBLE" for i in range(d))).repartition(5)
+    fit = components.fit_components(df, components=5)
+    filled = np.where(np.isnan(x), np.nanmean(x, 0), x)
+    spread = filled.std(0)
+    z = (filled - filled.mean(0)) / np.where(spread > 0, spread, 1.0)
+    values = np.sort(np.linalg.eigvalsh(z.T @ z / rows))[::-1]
+    assert fit.rows == rows
+    assert np.allclose(fit.means, filled.mean(0)) and np.allclose(fit.correlation, z.T @ z / rows, atol=1e-9)
+    assert np.allclose(fit.values, values[:5] * rows / (rows - 1))
+    few = df.select(*[f"c{i}" for i in range(6)])
+    wide = components.fit_components(few)
+    monkeypatch.setattr(components, "MANY_COLUMNS", 2)
+    monkeypatch.setattr(components, "TILE", 4)
+    tiled = components.fit_components(few)
+    assert np.allclose(wide.correlation, tiled.correlation) and np.allclose(wide.vectors, tiled.vectors) and np.allclose(wide.means, tiled.means)

@@ -33,6 +33,16 @@ ALARM_COLUMNS = [
     "HIGHEST_ALARM_LEVEL",
 ]
 
+# What the wider facts read of their own staged table; of the other they need its location and codes only.
+STAR_EMS_NEEDS = [
+    "CAD_INCIDENT_ID", "INCIDENT_DATETIME", "DATE_KEY", *LOCATION_COLUMNS, *[f"{c}_CLEAN" for c in SECONDS_COLUMNS],
+    *[column for _, _, column in EMS_CODE_DIMS], *FLAG_COLUMNS,
+]
+STAR_FIRE_NEEDS = [
+    "STARFIRE_INCIDENT_ID", "INCIDENT_DATETIME", "DATE_KEY", *LOCATION_COLUMNS, *[f"{c}_CLEAN" for c in SECONDS_COLUMNS],
+    *UNIT_COLUMNS, *[column for _, _, column in FIRE_CODE_DIMS], *ALARM_COLUMNS,
+]
+
 
 def _optional(df: DataFrame, column: str, type_name: str) -> Column:
     """The staged column, or a typed NULL where the raw file lacks it."""

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method of more than 8000 bytes; wide projections run faster in parts.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
 }
 

@@ -8,7 +8,7 @@ from martloom.functions import numbers, text, times
 from martloom.operators.keys import attach_key, dense_key
 from martloom.plans import dimensions as dims
 from martloom.plans import facts
-from martloom.plans.staging import EMS_NEEDS, FIRE_NEEDS, needed, stage_ems, stage_fire
+from martloom.plans.staging import EMS_NEEDS, FIRE_NEEDS, LOCATION_COLUMNS, needed, stage_ems, stage_fire
 from martloom.sources.raw import flatten_hourly
 from martloom.storage import store
 from workload import roles
@@ -368,8 +368,8 @@ def area_mapping(spark, sf):
     GALAXY,
 )
 def attach_location_key(spark, sf):
-    b = stage_fire(roles.raw_b(spark, sf))
-    location = dims.dim_location([stage_ems(roles.raw_a(spark, sf)), b])
+    b = store(needed(stage_fire(roles.raw_b(spark, sf)), ["STARFIRE_INCIDENT_ID", *PLACE]), "staged_b")
+    location = dims.dim_location([needed(stage_ems(roles.raw_a(spark, sf)), PLACE), b])
     on = [("ZIPCODE", "zipcode"), ("BOROUGH_NORM", "borough")]
     keyed = attach_key(b, location, on, "location_key", null_safe=True)
     return keyed.select(F.col("STARFIRE_INCIDENT_ID").alias("incident_id"), "location_key")
@@ -387,8 +387,8 @@ WIDE_MATCH = " AND ".join(
     f"{A}, {B}, {WIDE}",
 )
 def attach_location_key_wide(spark, sf):
-    a = stage_ems(roles.raw_a(spark, sf))
-    location = dims.dim_location_wide([a, stage_fire(roles.raw_b(spark, sf))])
+    a = store(needed(stage_ems(roles.raw_a(spark, sf)), ["CAD_INCIDENT_ID", *LOCATION_COLUMNS]), "staged_a")
+    location = dims.dim_location_wide([a, needed(stage_fire(roles.raw_b(spark, sf)), LOCATION_COLUMNS)])
     keyed = facts.attach_location_wide(a, location)
     return keyed.select(F.col("CAD_INCIDENT_ID").alias("incident_id"), "location_key")
 
@@ -407,10 +407,15 @@ def attach_dim_key(spark, sf):
     return facts.attach_code(orders, dim, "o_orderpriority", "priority_key").select("o_orderkey", "priority_key")
 
 
-def galaxy_parts(spark, sf):
+# What the dimensions that both facts share take from a source.
+PLACE = ["ZIPCODE", "BOROUGH_NORM"]
+A_SHARED, B_SHARED = [*PLACE, "FINAL_CALL_TYPE"], [*PLACE, "INCIDENT_CLASSIFICATION", "INCIDENT_CLASSIFICATION_GROUP"]
+
+
+def galaxy_parts(spark, sf, a_needs=EMS_NEEDS, b_needs=FIRE_NEEDS):
     """Staged frames, each built and parsed once, and the dimensions both facts share."""
-    a = store(needed(stage_ems(roles.raw_a(spark, sf)), EMS_NEEDS), "staged_a")
-    b = store(needed(stage_fire(roles.raw_b(spark, sf)), FIRE_NEEDS), "staged_b")
+    a = store(needed(stage_ems(roles.raw_a(spark, sf)), a_needs), "staged_a")
+    b = store(needed(stage_fire(roles.raw_b(spark, sf)), b_needs), "staged_b")
     return a, b, dims.dim_location([a, b]), dims.dim_incident_type(a, b), dims.dim_weather(roles.raw_weather(spark, sf))
 
 
@@ -429,7 +434,7 @@ SHARED_KEYS = f"""
     GALAXY,
 )
 def fact_a(spark, sf):
-    a, _, location, types, weather = galaxy_parts(spark, sf)
+    a, _, location, types, weather = galaxy_parts(spark, sf, b_needs=B_SHARED)
     return facts.fact_ems(a, location, types, weather)
 
 
@@ -446,7 +451,7 @@ def fact_a(spark, sf):
     GALAXY,
 )
 def fact_b(spark, sf):
-    _, b, location, types, weather = galaxy_parts(spark, sf)
+    _, b, location, types, weather = galaxy_parts(spark, sf, a_needs=A_SHARED)
     return facts.fact_fire(b, location, types, weather)
 
 
@@ -467,10 +472,11 @@ def fact_union(spark, sf):
     )
 
 
-def star_parts(spark, sf):
-    a = store(stage_ems(roles.raw_a(spark, sf)), "staged_a")
-    b = store(stage_fire(roles.raw_b(spark, sf)), "staged_b")
-    return a, b, dims.dim_location_wide([a, b]), all_codes(a, b)
+def star_parts(spark, sf, a_needs, b_needs):
+    """Staged frames with what is needed of each, and the locations of both."""
+    a = store(needed(stage_ems(roles.raw_a(spark, sf)), a_needs), "staged_a")
+    b = store(needed(stage_fire(roles.raw_b(spark, sf)), b_needs), "staged_b")
+    return a, b, dims.dim_location_wide([a, b])
 
 
 def code_join(alias: str, dim: str, code: str) -> str:
@@ -504,8 +510,8 @@ STAR_A_JOINS = "".join(
     f"{A}, {B}, {WIDE}, {CODES}",
 )
 def star_fact_a(spark, sf):
-    a, _, location, codes = star_parts(spark, sf)
-    return facts.star_fact_ems(a, location, codes)
+    a, _, location = star_parts(spark, sf, facts.STAR_EMS_NEEDS, LOCATION_COLUMNS)
+    return facts.star_fact_ems(a, location, dims.code_dims([(a, dims.EMS_CODE_DIMS)]))
 
 
 STAR_B_JOINS = "".join(
@@ -535,8 +541,8 @@ STAR_B_JOINS = "".join(
     f"{A}, {B}, {WIDE}, {CODES}",
 )
 def star_fact_b(spark, sf):
-    _, b, location, codes = star_parts(spark, sf)
-    return facts.star_fact_fire(b, location, codes)
+    _, b, location = star_parts(spark, sf, LOCATION_COLUMNS, facts.STAR_FIRE_NEEDS)
+    return facts.star_fact_fire(b, location, dims.code_dims([(b, dims.FIRE_CODE_DIMS)]))
 
 
 @query(

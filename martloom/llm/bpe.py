@@ -1,7 +1,7 @@
 """Byte-level BPE by dynamic programming over prefixes.
 
-For every prefix of a piece there is one token that its encoding ends with. A suffix automaton over
-the vocabulary names the tokens that end at each place; the one that goes well with the last token of
+For every prefix of a piece there is one token that its encoding ends with. An automaton over the vocabulary, of the
+Aho-Corasick kind, names the tokens that are a suffix of each prefix; the one that goes well with the last token of
 the prefix before it is stored. Following these back from the end gives the exact ids, without
 merging anything.
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -26,11 +27,11 @@ from martloom.llm.rows import byte_texts, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 
-#: What a task remembers of each kind: encoded parts by bytes, tested pairs by number. It forgets all of
-#: a kind when there is more.
+#: What a task remembers: encoded parts by bytes, tested pairs by number. When there is more, parts that were not met again since the
+#: last time are forgotten, and all pairs.
 REMEMBERED_BYTES = 60_000_000
 ENTRY_BYTES = 200
-REMEMBERED_PAIRS = 200_000
+REMEMBERED_PAIRS = 400_000
 
 # Fixed value: the pattern that cuts text into pieces for this family of vocabularies.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -71,9 +72,9 @@ class Encoder:
         self.cut = regex.compile(PIECES)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.fits: dict[int, bool] = {}
-        self.pieces: dict[str, bytes] = {}
         self.chunks: dict[bytes, bytes | None] = {}
-        self.pieces_held = self.chunks_held = 0
+        self.older: dict[bytes, bytes | None] = {}
+        self.held = 0
 
     def _edge(self, token: int, side: int) -> Iterator[tuple[int, int]]:
         """The parts of a token along one side, each with the rank of the merge that uses it up."""
@@ -100,19 +101,23 @@ class Encoder:
             self.fits[pair] = known
         return known
 
-    def piece(self, data: bytes) -> list[int]:
-        """Ids of one piece: the last token of every prefix, then back from the end."""
-        last: list[int] = [-1] * (len(data) + 1)
-        size: list[int] = [0] * (len(data) + 1)
-        done = 0
-        for end, (token, length) in self.automaton.iter(data.decode("latin-1")):
+    def piece(self, data: str) -> list[int]:
+        """Ids of one piece, its bytes as characters: the last token of every prefix, then back from the end."""
+        last, size, done = [0] * (len(data) + 1), [0] * (len(data) + 1), 0
+        fits, compatible = self.fits, self.compatible
+        for end, (token, length) in self.automaton.iter(data):
             end += 1
             if end == done:
                 continue
             start = end - length
-            if start == 0 or self.compatible(last[start], token):
-                last[end], size[end], done = token, length, end
-        ids, at = [], len(data)
+            if start:
+                left = last[start]
+                good = fits.get(left << 32 | token)
+                if not (compatible(left, token) if good is None else good):
+                    continue
+            last[end], size[end], done = token, length, end
+        at = len(data)
+        ids = []
         while at:
             ids.append(last[at])
             at -= size[at]
@@ -120,23 +125,25 @@ class Encoder:
         return ids
 
     def _by_pieces(self, data: bytes) -> bytes:
-        coded = []
+        ids: list[int] = []
         for piece in self.cut.findall(data.decode()):
-            found = self.pieces.get(piece)
-            if found is None:
-                found = np.array(self.piece(piece.encode()), np.uint32).tobytes()
-                self.pieces_held = self._room(self.pieces, self.pieces_held, len(found))
-                self.pieces[piece] = found
-            coded.append(found)
-        return b"".join(coded)
-
-    @staticmethod
-    def _room(remembered: dict, held: int, more: int) -> int:
-        """Bytes held after `more` come in; forgets everything first when that would be too many."""
-        if held + more > REMEMBERED_BYTES:
-            remembered.clear()
-            held = 0
-        return held + more + ENTRY_BYTES
+            ids += self.piece(piece if piece.isascii() else piece.encode().decode("latin-1"))
+        return array("I", ids).tobytes()
+
+    def _part(self, part: bytes) -> bytes | None:
+        """Ids of a part with a space before it; None where it ends in white space, or is empty, and has to be seen with what follows."""
+        if not part or part.decode()[-1].isspace():
+            return None
+        return self._by_pieces(b" " + part)
+
+    def _learn(self, parts: set[bytes], missing: set[bytes]) -> None:
+        """Remember the ids of all `parts`, of which some are `missing`; what was not met for long is forgotten first."""
+        if self.held > REMEMBERED_BYTES:
+            self.older, self.chunks, self.held, missing = self.chunks, {}, 0, parts
+        older, chunks = self.older, self.chunks
+        for part in missing:
+            coded = chunks[part] = older[part] if part in older else self._part(part)
+            self.held += ENTRY_BYTES + len(part) + (len(coded) if coded else 0)
 
     def _plain(self, data: bytes) -> bytes:
         """Ids, as little-endian bytes, of text without special tokens.
@@ -151,14 +158,10 @@ class Encoder:
         last = middle.pop()
         if first and first.decode()[-1].isspace():
             return self._by_pieces(data)
-        missing = set(middle).difference(self.chunks)
+        different = set(middle)
+        missing = different.difference(self.chunks)
         if missing:
-            self.chunks_held = self._room(self.chunks, self.chunks_held, sum(map(len, missing)))
-            for c in missing if self.chunks else set(middle):
-                blank = not c or c.decode()[-1].isspace()
-                coded = None if blank else self._by_pieces(b" " + c)
-                self.chunks[c] = coded
-                self.chunks_held += ENTRY_BYTES + (len(coded) if coded else 0)
+            self._learn(different, missing)
         try:
             coded = b"".join(map(self.chunks.__getitem__, middle))
         except TypeError:  # one of them ends in white space

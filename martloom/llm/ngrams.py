@@ -20,7 +20,6 @@ only when both of its pairs were learned from and asked for by other blocks too;
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,9 +34,9 @@ from martloom.storage import store
 
 #: Imagined tokens per context.
 STRENGTH = 10.0
-#: Bytes of text in a block (a longer text is a block by itself), and requests summed in one task.
-BLOCK_BYTES = 3 << 20
-BUCKET_REQUESTS = 500_000
+#: Bytes of text in a block (a longer text is a block by itself), and tokens whose requests are summed in one bucket.
+BLOCK_BYTES = 6 << 20
+BUCKET_REQUESTS = 2_000_000
 
 #: Bytes of the hash of a pair or triple that are sent; its bucket tells it apart as well.
 KEY_BYTES = 6
@@ -76,50 +75,56 @@ class Block:
         learned = self.ids[np.repeat(self.trained, self.lengths)]
         return np.bincount(learned, minlength=len(self.words))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Different pairs of the block, as first * words + second, and how often the learned texts have each."""
-        codes = self.ids[:-1].astype(np.int64) * len(self.words) + self.ids[1:]
-        inner = self.ids[:-1] != END
-        learned = np.repeat(self.trained, self.lengths)[:-1][inner]
-        codes = codes[inner]
-        order = np.argsort(codes, kind="stable")
-        codes = codes[order]
-        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
-        counts = np.add.reduceat(learned[order].astype(np.int64), first) if len(codes) else first
-        return codes[first], counts
+    def learned(self) -> np.ndarray:
+        """Whether each token is of a text that is learned from."""
+        return np.repeat(self.trained, self.lengths)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different pairs of the block, as first * words + second, how often the learned texts have each, and for each token
+        the place of the pair that it ends, -1 for the first of a text."""
+        at = np.full(len(self.ids), -1, np.int64)
+        inner = np.flatnonzero(self.ids[:-1] != END) + 1
+        values = self.ids[inner - 1].astype(np.int64) * len(self.words) + self.ids[inner]
+        codes, counts, at[inner], _ = distinct(values, self.learned()[inner])
+        return codes, counts, at
 
     def pair_hashes(self, codes: np.ndarray) -> np.ndarray:
         h, n = self.hashes(), np.int64(len(self.words))
         return mixed(h[codes // n], h[codes % n])
 
-    def triples(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Different triples, as place of the first two in `pairs` * words + third, and how often the learned texts have each."""
-        n, ids = np.int64(len(self.words)), self.ids
-        inner = (ids[:-2] != END) & (ids[1:-1] != END)
-        codes = np.searchsorted(pairs, ids[:-2][inner] * n + ids[1:-1][inner]) * n + ids[2:][inner]
-        learned = np.repeat(self.trained, self.lengths)[:-2][inner]
-        order = np.argsort(codes, kind="stable")
-        codes = codes[order]
-        if not len(codes):
-            return codes, np.zeros(0, np.int64)
-        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
-        return codes[first], np.add.reduceat(learned[order].astype(np.int64), first)
-
-    def last_pairs(self, pairs: np.ndarray, triples: np.ndarray) -> np.ndarray:
-        """The place in `pairs` of the last two words of each triple."""
-        n = np.int64(len(self.words))
-        return np.searchsorted(pairs, pairs[triples // n] % n * n + triples % n)
+    def triples(self, pair_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Different triples, as place of the first two among the pairs * words + third, how often the learned texts have each, for each
+        token the place of the triple that it ends, or -1, and the place of the last two words of each triple."""
+        at = np.full(len(self.ids), -1, np.int64)
+        inner = np.flatnonzero((pair_at[:-1] >= 0) & (pair_at[1:] >= 0)) + 1
+        values = pair_at[inner - 1] * np.int64(len(self.words)) + self.ids[inner]
+        codes, counts, at[inner], first = distinct(values, self.learned()[inner])
+        return codes, counts, at, pair_at[inner][first]
 
-    def asked(self, pairs: np.ndarray, totals: np.ndarray, alone: np.ndarray, triples: np.ndarray) -> np.ndarray:
+    def asked(self, totals: np.ndarray, alone: np.ndarray, triples: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Which triples may have counts in other blocks."""
         open_pair = (totals > 0) & ~alone
-        return open_pair[triples // np.int64(len(self.words))] & open_pair[self.last_pairs(pairs, triples)]
+        return open_pair[triples // np.int64(len(self.words))] & open_pair[last]
 
     def triple_hashes(self, pairs: np.ndarray, triples: np.ndarray) -> np.ndarray:
         n = np.int64(len(self.words))
         return mixed(self.pair_hashes(pairs)[triples // n], self.hashes()[triples % n])
 
 
+def distinct(values: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different values in order, how many of each are learned, the place of each value among them, and where each is found."""
+    if not len(values):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    places = np.empty(len(values), np.int64)
+    places[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return ordered[first], np.add.reduceat(learned[order].astype(np.int64), first), places, order[first]
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29)))
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -145,41 +150,71 @@ def dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
 
+#: Stands for the weight of an arc that is not there; weights are logarithms of probabilities and not above 0.
+NO_ARC = 1.0
+
+
+@dataclass
 class Automaton:
-    """States with arcs, weights, failure arcs and their weights; all weights are log10 of probabilities."""
-
-    def __init__(self, words: int):
-        self.words = words
-        self.arcs: dict[int, int] = {}
-        self.target = array("q")
-        self.weight = array("d")
-        self.failure: list[int] = [ROOT]
-        self.backoff: list[float] = [0.0]
-
-    def add_states(self, backoff: list[float], failure: list[int] | None = None) -> None:
-        """States that fail to the root, or where `failure` says."""
-        self.backoff += backoff
-        self.failure += [ROOT] * len(backoff) if failure is None else failure
-
-    def add_arcs(self, keys: list[int], targets: list[int], weights: list[float]) -> None:
-        """Arcs keyed by state * words + word."""
-        self.arcs.update(zip(keys, range(len(self.target), len(self.target) + len(keys))))
-        self.target.extend(targets)
-        self.weight.extend(weights)
-
-    def walk(self, tokens: list[int]) -> float:
-        """The weight of one traversal from the root, left to right."""
-        arcs, target, weight, failure, backoff, words = (
-            self.arcs.get, self.target, self.weight, self.failure, self.backoff, self.words)
+    """States with arcs, failure arcs, and the weights of both; all weights are log10 of probabilities.
+
+    The root is state 0 and has an arc for every word. Word w is state w + 1 where it was learned, and has an arc for each pair that
+    begins with it; a pair is a state above those of words, and has an arc for each triple.
+    Pairs fail to their second word, words to the root.
+    """
+
+    own: np.ndarray  # arcs of the root by word: weights, and the states they lead to
+    state: np.ndarray
+    codes: np.ndarray  # pairs as first * words + second, in order
+    pair_weight: np.ndarray
+    pair_state: np.ndarray
+    triples: np.ndarray  # place of the first two words among the pairs * words + third, in order
+    triple_weight: np.ndarray
+    backoff: list[float]  # by state
+    failure: list[int]
+
+    def places(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of some tokens of one text the place of the pair and of the triple that it ends, or -1."""
+
+        def find(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(known, values)
+            found = known[np.minimum(at, len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+            return np.where(found, at, -1)
+
+        n, none = np.int64(len(self.own)), np.full(1, -1)
+        pair_at = np.append(none, find(self.codes, ids[:-1] * n + ids[1:]))[: len(ids)]
+        before = pair_at[:-1]
+        triple_at = np.append(none, np.where(before >= 0, find(self.triples, before * n + ids[1:]), -1))[: len(ids)]
+        return pair_at, triple_at
+
+    def walk(self, ids: np.ndarray, pair_at: np.ndarray, triple_at: np.ndarray) -> float:
+        """The weight of one traversal from the root, left to right; at each token the longest context's arc, or a failure arc."""
+
+        def of(table: np.ndarray, at: np.ndarray, none: float) -> list:
+            return (np.where(at >= 0, table[at], none) if len(table) else np.full(len(at), none)).tolist()
+
+        words, backoff, failure = len(self.own), self.backoff, self.failure
+        arcs = zip(
+            self.own[ids].tolist(), self.state[ids].tolist(), of(self.pair_weight, pair_at, NO_ARC),
+            of(self.pair_state, pair_at, ROOT), of(self.triple_weight, triple_at, NO_ARC),
+        )
         state, total = ROOT, 0.0
-        for token in tokens:
-            arc = arcs(state * words + token)
-            while arc is None:
+        for own, word, pair, goal, triple in arcs:
+            if state > words:
+                if triple <= 0.0:
+                    total += triple
+                    state = goal
+                    continue
                 total += backoff[state]
                 state = failure[state]
-                arc = arcs(state * words + token)
-            total += weight[arc]
-            state = target[arc]
+            if state:
+                if pair <= 0.0:
+                    total += pair
+                    state = goal
+                    continue
+                total += backoff[state]
+            total += own
+            state = word
         return total
 
 
@@ -202,26 +237,31 @@ def automaton(
     n = len(counts)
     own = (counts + 0.5) / (total + 0.5 * (different + 1))
     state = np.where(counts > 0, np.arange(n) + 1, ROOT)
-    made = Automaton(n)
-    made.add_states(np.log10(strength / (counts + strength)).tolist())
-    made.add_arcs(list(range(n)), state.tolist(), np.log10(own).tolist())
+    backoff, failure = [np.zeros(1), np.log10(strength / (counts + strength))], [np.zeros(n + 1, np.int64)]
+    first, second = codes // n, codes % n
     seen = pair_counts > 0
-    first, second, c = codes[seen] // n, codes[seen] % n, pair_counts[seen]
-    p = (c + strength * own[second]) / (counts[first] + strength)
-    goal = state[second]
+    p_pair = (pair_counts + strength * own[second]) / (counts[first] + strength)
+    goal = np.where(seen, state[second], ROOT)
+    triple_weight = np.zeros(0)
     if triples is not None:
-        inner = second != END
-        goal = np.where(inner, n + np.cumsum(inner), ROOT)
-        made.add_states(np.log10(strength / (c[inner] + strength)).tolist(), state[second[inner]].tolist())
-    made.add_arcs(((first + 1) * n + second).tolist(), goal.tolist(), np.log10(p).tolist())
-    if triples is not None:
-        of_pair, p_pair = np.zeros(len(codes), np.int64), np.zeros(len(codes))
-        of_pair[seen], p_pair[seen] = goal, p
-        met = triple_counts > 0
-        before, last, c = triples[met] // n, last_pairs[met], triple_counts[met]
-        p = (c + strength * p_pair[last]) / (pair_counts[before] + strength)
-        made.add_arcs((of_pair[before] * n + triples[met] % n).tolist(), of_pair[last].tolist(), np.log10(p).tolist())
-    return made
+        inner = seen & (second != END)
+        goal = np.where(inner, n + np.cumsum(inner), goal)
+        backoff.append(np.log10(strength / (pair_counts[inner] + strength)))
+        failure.append(state[second[inner]])
+        before = triples // n
+        p = (triple_counts + strength * p_pair[last_pairs]) / (pair_counts[before] + strength)
+        triple_weight = np.where(triple_counts > 0, np.log10(p), NO_ARC)
+    return Automaton(
+        own=np.log10(own),
+        state=state,
+        codes=codes,
+        pair_weight=np.where(seen, np.log10(p_pair), NO_ARC),
+        pair_state=goal,
+        triples=np.zeros(0, np.int64) if triples is None else triples,
+        triple_weight=triple_weight,
+        backoff=np.concatenate(backoff).tolist(),
+        failure=np.concatenate(failure).tolist(),
+    )
 
 
 def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame:
@@ -264,19 +304,20 @@ def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame
 _PARTS = "bucket INT, block BIGINT, words ARRAY<BINARY>, pairs BINARY, counts BINARY"
 
 
-def _packed(block: int, words: list[bytes] | None, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """A row per bucket that the block asks, by words or else by hashes."""
-    names = ["bucket", "block", "words", "pairs", "counts"]
-    types = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+_NAMES = ["bucket", "block", "words", "pairs", "counts"]
+_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+
+
+def _packed(block: int, words: list[bytes] | None, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row per bucket that the block asks, by words or else by hashes; a bucket that it asks nothing has none."""
     order, starts = dealt(hashes, buckets)
     counts, hashes = counts[order].astype(np.int64), hashes[order]
-    for b in range(buckets):
+    rows = []
+    for b in np.flatnonzero(np.diff(starts)).tolist():
         part = slice(starts[b], starts[b + 1])
-        if part.start == part.stop:
-            continue
         asked = [None, keys_of(hashes[part], buckets)] if words is None else [[words[i] for i in order[part].tolist()], None]
-        row_of_part = [b, block, *asked, planes(counts[part])]
-        yield pa.record_batch([pa.array([v], t) for v, t in zip(row_of_part, types)], names)
+        rows.append((b, block, *asked, planes(counts[part])))
+    return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, _TYPES)], _NAMES)
 
 
 def _requests(blocks: DataFrame, buckets: int, of_pairs: bool) -> DataFrame:
@@ -287,11 +328,11 @@ def _requests(blocks: DataFrame, buckets: int, of_pairs: bool) -> DataFrame:
             for row in batch.to_pylist():
                 block = Block.read(row["lengths"], row["trained"], row["ids"], row["words"])
                 if of_pairs:
-                    codes, counts = block.pairs()
+                    codes, counts, _ = block.pairs()
                     hashes = block.pair_hashes(codes)
                 else:
                     counts, hashes = block.word_counts(), block.hashes()
-                yield from _packed(row["block"], None if of_pairs else block.words, hashes, counts, buckets)
+                yield _packed(row["block"], None if of_pairs else block.words, hashes, counts, buckets)
 
     return blocks.select("block", "lengths", "trained", "ids", "words").mapInArrow(ask, _PARTS)
 
@@ -375,37 +416,33 @@ def scored(
         row = table.filter(pa.compute.equal(table.column("part"), 0)).slice(0, 1)
         data = row.select(["block", "lengths", "trained", "ids", "words"]).to_pylist()[0]
         block = Block.read(data["lengths"], data["trained"], data["ids"], data["words"])
-        codes, _ = block.pairs()
+        codes, _, pair_at = block.pairs()
         found = totals_of(table, 2, block.pair_hashes(codes))
-        triples, counts = block.triples(codes)
-        asked = block.asked(codes, found >> 1, found % 2 == 1, triples)
+        triples, counts, _, last = block.triples(pair_at)
+        asked = block.asked(found >> 1, found % 2 == 1, triples, last)
         hashes = block.triple_hashes(codes, triples[asked])
-        return pa.Table.from_batches(_packed(data["block"], None, hashes, counts[asked], buckets), wanted)
-
-    wanted = pa.schema(
-        [("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.list_(pa.binary())), ("pairs", pa.binary()), ("counts", pa.binary())]
-    )
+        return pa.Table.from_batches([_packed(data["block"], None, hashes, counts[asked], buckets)])
 
     def score(table: pa.Table) -> pa.Table:
         row = table.filter(pa.compute.equal(table.column("part"), 0)).select(["keys", "lengths", "trained", "ids", "words"])
         data = row.slice(0, 1).to_pylist()[0]
         block = Block.read(data["lengths"], data["trained"], data["ids"], data["words"])
         counts = totals_of(table, 1, block.hashes())
-        codes, _ = block.pairs()
+        codes, _, pair_at = block.pairs()
         found = totals_of(table, 2, block.pair_hashes(codes))
-        pair_counts, third = found >> 1, ()
+        pair_counts, third, triple_at = found >> 1, (), np.full(len(pair_at), -1)
         if order == 3:
-            triples, triple_counts = block.triples(codes)
-            asked = block.asked(codes, pair_counts, found % 2 == 1, triples)
+            triples, triple_counts, triple_at, last = block.triples(pair_at)
+            asked = block.asked(pair_counts, found % 2 == 1, triples, last)
             triple_counts[asked] = totals_of(table, 3, block.triple_hashes(codes, triples[asked])) >> 1
-            third = triples, triple_counts, block.last_pairs(codes, triples)
+            third = triples, triple_counts, last
         made = automaton(counts, total, different, codes, pair_counts, strength, *third)
         ends = np.cumsum(block.lengths)
         starts = ends - block.lengths
         base = np.log10((counts + 0.5) / (total + 0.5 * (different + 1)))[block.ids]
         known = (counts > 0)[block.ids].astype(np.int64)
-        ids = block.ids.tolist()
-        n = len(starts)
+        ids, n = block.ids, len(starts)
+        walked = [made.walk(ids[a:b], pair_at[a:b], triple_at[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
         return pa.table(
             {
                 key: pa.array(data["keys"], row.schema.field("keys").type.value_type),
@@ -414,7 +451,7 @@ def scored(
                 "n_known": pa.array(np.add.reduceat(known, starts)),
                 "train_tokens": pa.array(np.full(n, total, np.int64)),
                 "base_score": pa.array([math.fsum(base[a:b].tolist()) for a, b in zip(starts, ends)], pa.float64()),
-                "score": pa.array([made.walk(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.float64()),
+                "score": pa.array(walked, pa.float64()),
             }
         )
 

@@ -35,7 +35,7 @@ from martloom.storage import store
 #: Imagined tokens per context.
 STRENGTH = 10.0
 #: Bytes of text in a block (a longer text is a block by itself), and tokens whose requests are summed in one bucket.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_REQUESTS = 2_000_000
 
 #: Bytes of the hash of a pair or triple that are sent; its bucket tells it apart as well.

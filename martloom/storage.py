@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,6 +53,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of jobs that are done.
+
+    Spark deletes them once the driver finds nothing that refers to them, which a driver with little to do may
+    not look for until the disks are full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def kept_until_done(spark: SparkSession) -> Iterator[None]:
     """What is stored inside the block is deleted at its end; results must be written elsewhere by then."""

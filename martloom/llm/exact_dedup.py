@@ -117,8 +117,13 @@ def _classed(rows: DataFrame, block_bytes: int) -> DataFrame:
 def without_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The rows of `docs` that stay, all columns as they were."""
-    rows = numbered(docs, "exact_dedup_input")
-    source = rows.select(ROW, rows[key].alias("id"), normalised(text_of(rows, text)).alias("body"))
-    kept = _classed(source, block_bytes).filter("kept").select(ROW)
-    return rows.join(kept, ROW, "left_semi").drop(ROW)
+    """The rows of `docs` that stay, all columns as they were, whatever their names.
+
+    Null text counts as empty, and empty texts equal each other. Of equal texts the row with the smallest key stays, a null key last;
+    of repeated rows one. Long texts are compared block by block. An empty table gives no rows.
+    """
+    rows = numbered(docs.select(F.struct("*").alias("doc")), "exact_dedup_input")
+    field = F.col("doc").getField
+    body = normalised(F.coalesce(field(text).cast("string"), F.lit("")))
+    kept = _classed(rows.select(ROW, field(key).alias("id"), body.alias("body")), block_bytes).filter("kept").select(ROW)
+    return rows.join(kept, ROW, "left_semi").select("doc.*")

@@ -26,11 +26,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.rows import byte_texts, fold_of, word_runs
-from martloom.storage import store
+from martloom.storage import release_shuffles, store
 
 #: Imagined tokens per context.
 STRENGTH = 10.0
@@ -143,6 +144,15 @@ def from_keys(data: bytes) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
+def packed_words(words: list[bytes]) -> bytes:
+    """Words, which hold no line break, compressed together."""
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+
+
+def unpacked_words(data: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(data).split(b"\n")
+
+
 def dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of requests by bucket, and where each bucket begins in it (one more than there are)."""
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
@@ -301,11 +311,11 @@ def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame
     return rows.mapInArrow(encode, layout)
 
 
-_PARTS = "bucket INT, block BIGINT, words ARRAY<BINARY>, pairs BINARY, counts BINARY"
+_PARTS = "bucket INT, block BIGINT, words BINARY, pairs BINARY, counts BINARY"
 
 
 _NAMES = ["bucket", "block", "words", "pairs", "counts"]
-_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary()]
+_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def _packed(block: int, words: list[bytes] | None, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -315,7 +325,7 @@ def _packed(block: int, words: list[bytes] | None, hashes: np.ndarray, counts: n
     rows = []
     for b in np.flatnonzero(np.diff(starts)).tolist():
         part = slice(starts[b], starts[b + 1])
-        asked = [None, keys_of(hashes[part], buckets)] if words is None else [[words[i] for i in order[part].tolist()], None]
+        asked = [None, keys_of(hashes[part], buckets)] if words is None else [packed_words([words[i] for i in order[part].tolist()]), None]
         rows.append((b, block, *asked, planes(counts[part])))
     return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, _TYPES)], _NAMES)
 
@@ -353,7 +363,8 @@ def _answers(requests: DataFrame, of_pairs: bool) -> DataFrame:
             keys = np.concatenate([from_keys(x) for x in table.column("pairs").to_pylist()])
             _, place = np.unique(keys, return_inverse=True)
         else:
-            place = pa.compute.list_flatten(table.column("words").combine_chunks()).dictionary_encode().indices.to_numpy()
+            words = pa.array([w for x in table.column("words").to_pylist() for w in unpacked_words(x)], pa.binary())
+            place = words.dictionary_encode().indices.to_numpy()
         totals = np.bincount(place, np.concatenate(counts)).astype(np.int64)
         if of_pairs:
             totals = 2 * totals + (np.bincount(place) == 1)
@@ -396,6 +407,7 @@ def scored(
     buckets = max(1, -(-tokens // bucket_requests))
     words = store(_answers(_requests(blocks, buckets, False), False), "word_answers")
     pairs = store(_answers(_requests(blocks, buckets, True), True), "pair_answers")
+    release_shuffles(docs.sparkSession)
     whole = words.filter("block = -1").agg(F.sum("learned"), F.sum("different")).first()
     total, different = whole[0] or 0, whole[1] or 0
     own = blocks.schema["keys"].dataType.elementType.simpleString()
@@ -462,4 +474,6 @@ def scored(
     if order == 3:
         requests = texts.unionByName(answered(2, pairs)).groupBy("block").applyInArrow(ask_triples, _PARTS)
         gathered = gathered.unionByName(answered(3, store(_answers(requests, True), "triple_answers")))
+        del requests
+        release_shuffles(docs.sparkSession)
     return gathered.groupBy("block").applyInArrow(score, layout)

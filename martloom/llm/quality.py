@@ -239,5 +239,10 @@ def assessed(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", te
 
 
 def passing(docs: DataFrame, limits: Limits = Limits(), text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of `docs` that are kept, with their columns as they were."""
-    return measured(docs, limits, text, lang).filter("__quality.kept").drop("__quality")
+    """The rows of `docs` that are kept, with their columns as they were, whatever their names.
+
+    Null and empty texts fail the base rules. Repeated rows are judged alike and long texts whole. An empty table gives no rows.
+    """
+    rows = docs.select(F.struct("*").alias("doc"), docs[text].alias("text"), docs[lang].alias("lang"))
+    judged = measured(rows, limits, "text", "lang", references(docs, limits, text, lang))
+    return judged.filter("__quality.kept").select("doc.*")

@@ -169,10 +169,15 @@ def near_duplicates(
 def without_near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE, blocks: int = BLOCKS, crowd: int = CROWD
 ) -> DataFrame:
-    """One row of each component of `docs`, that with the least key, with its columns as they were."""
-    rows = numbered(docs, "simhash_input")
-    prints = store(with_fingerprints(rows, key, text, (ROW,)), "simhash_prints")
+    """One row of each component of `docs`, that with the least key, with its columns as they were, whatever their names.
+
+    Null, empty and repeated rows as in `near_duplicates`; a null key comes last, and of repeated keys one row stays. Long texts are
+    read whole. An empty table gives no rows.
+    """
+    rows = numbered(docs.select(F.struct("*").alias("doc")), "simhash_input")
+    plain = rows.select(ROW, F.col("doc").getField(key).alias("key"), F.col("doc").getField(text).alias("text"))
+    prints = store(with_fingerprints(plain, "key", "text", (ROW,)), "simhash_prints")
     roots = _rooted(prints, distance, blocks, crowd).select("fp", "root")
     first = F.min(F.struct(F.col("id").isNull(), "id", ROW)).alias("first")
     kept = prints.join(roots, "fp").groupBy("root").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").drop(ROW)
+    return rows.join(kept, ROW, "left_semi").select("doc.*")

@@ -32,17 +32,21 @@ class Settings:
     #: The most toxic and the most unlabelled rows that the fit sees, taken by a hash of the key.
     positives: int = 4000
     unlabelled: int = 8000
-    #: Words of the model, and the sampled texts a word must occur in.
+    #: Words of the model, and the share of the sampled texts a word must occur in, three texts at least.
     terms: int = 512
-    least_texts: int = 20
-    #: How many standard errors the share of a word among toxic texts must differ from that among all.
+    least_share: float = 1 / 600
+    #: How many standard errors the share of a word among toxic texts must differ from that among all. With few toxic texts no
+    #: word can differ by as much, so that a part of the square root of their number is enough.
     least_errors: float = 5.0
+    errors_by_root: float = 0.8
     #: Share of toxic texts among all; by default `margin` times the share among the labelled training
     #: rows. Below the true share the fit takes toxic texts for clean ones; above it the bound on the
     #: clean part of the risk keeps the harm small.
     prior: float | None = None
     margin: float = 1.25
     epochs: int = 200
+    #: A small sample is gone through more often, for so many steps at least.
+    least_steps: int = 800
     batch: int = 2000
     rate: float = 0.05
     ridge: float = 1e-5
@@ -96,7 +100,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, settings: Se
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     pull = lambda x, g: np.append(x.T @ g, g.sum()) / len(x)
     loss = lambda z: np.logaddexp(0, -z)
-    for _ in range(settings.epochs):
+    for _ in range(max(settings.epochs, -(-settings.least_steps // -(-len(unlabelled) // settings.batch)))):
         order = rng.permutation(len(unlabelled))
         for at in range(0, len(order), settings.batch):
             u = unlabelled[order[at : at + settings.batch]].astype(np.float64)
@@ -148,13 +152,14 @@ def train(
     seen = sample.select("positive", F.explode("words").alias("word")).groupBy("word")
     in_pos, in_unl = F.col("positive"), ~F.col("positive")
     terms = seen.agg(F.count("*").alias("n"), share(in_pos, n_pos).alias("p"), share(in_unl, n_unl).alias("u"))
-    terms = terms.filter(F.col("n") >= settings.least_texts)
+    terms = terms.filter(F.col("n") >= max(3.0, settings.least_share * (n_pos + n_unl)))
+    least_errors = min(settings.least_errors, settings.errors_by_root * math.sqrt(n_pos))
     terms = terms.withColumn(
         "weight",
         F.abs(F.col("p") - F.col("u"))
         / F.sqrt(F.col("p") * (1 - F.col("p")) / n_pos + F.col("u") * (1 - F.col("u")) / n_unl),
     )
-    best = [bytes(r["word"]) for r in terms.filter(F.col("weight") >= settings.least_errors).orderBy(F.desc("weight"), "word").limit(settings.terms).collect()]
+    best = [bytes(r["word"]) for r in terms.filter(F.col("weight") >= least_errors).orderBy(F.desc("weight"), "word").limit(settings.terms).collect()]
     place = {w: i for i, w in enumerate(best)}
     width = len(best)
 
@@ -186,14 +191,14 @@ def _with_words(rows: DataFrame) -> DataFrame:
     return as_batches("split_words", "positive BOOLEAN, words ARRAY<BINARY>", rows.select("positive", "text"), split)
 
 
-def with_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with `__toxicity`, 0 to 1; rows are not moved. Null text scores as an empty one."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
+def with_scores(docs: DataFrame, model: Model, text: str = "text", into: str = SCORE) -> DataFrame:
+    """`docs` with a score, 0 to 1, in a column that they do not have yet; rows are not moved. Null text scores as an empty one."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
 
     def score(batches):
         for batch in batches:
             scores = pa.array([model.score(words_of(x)) for x in byte_texts(batch, text)], pa.float64())
-            yield pa.record_batch([*batch.columns, scores], [*batch.schema.names, SCORE])
+            yield pa.record_batch([*batch.columns, scores], [*batch.schema.names, into])
 
     return docs.mapInArrow(score, schema)
 
@@ -210,5 +215,11 @@ def predictions(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
 
 
 def clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of `docs` that the model does not hold toxic, with their columns as they were."""
-    return with_scores(docs, model, text).filter(F.col(SCORE) < 0.5).drop(SCORE)
+    """The rows of `docs` that the model does not hold toxic, with their columns as they were, whatever their names.
+
+    Null texts are judged as empty ones, repeated rows alike, and long texts whole. An empty table gives no rows.
+    """
+    into = SCORE
+    while into in docs.columns:
+        into += "_"
+    return with_scores(docs, model, text, into).filter(F.col(into) < 0.5).drop(into)

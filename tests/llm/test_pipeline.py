@@ -37,7 +37,7 @@ def folder(spark, tmp_path_factory):
 def test_stages_and_run(spark, folder, monkeypatch):
     """Each stage against a plain version of it, on what the stage before has left."""
     path, rows = folder
-    loose = toxicity.Settings(least_texts=5, least_errors=3.0)
+    loose = toxicity.Settings(least_errors=3.0)
     train = toxicity.train
     monkeypatch.setattr(toxicity, "train", lambda docs, labels: train(docs, labels, loose))
     docs = spark.read.parquet(f"{path}/documents.parquet")

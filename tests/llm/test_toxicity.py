@@ -41,7 +41,7 @@ def test_held_out_accuracy_and_columns(spark):
     rows, labels = corpus()
     docs = spark.createDataFrame([*rows, (9001, None), (9002, ""), (None, "w1x"), (0, rows[0][1])], LAYOUT)
     marks = spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id LONG, toxic INT")
-    model = train(docs, marks, Settings(least_texts=5, least_errors=3.0))
+    model = train(docs, marks, Settings(least_errors=3.0))
     got = predictions(docs, model).collect()
     assert len(got) == len(rows) + 4 and docs.schema[0].name == "doc_id"
     held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 9000]
@@ -60,7 +60,7 @@ def test_held_out_accuracy_and_columns(spark):
 def test_the_same_model_each_time(spark):
     rows, labels = corpus(200)
     marks = spark.createDataFrame(labels, "doc_id LONG, toxic INT")
-    few = Settings(least_texts=3, least_errors=2.0, epochs=5)
+    few = Settings(least_errors=2.0, epochs=5, least_steps=5)
     models = [train(spark.createDataFrame(rows, LAYOUT).repartition(n), marks, few) for n in (1, 4)]
     assert models[0] == models[1] and models[0].weights
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -59,8 +60,10 @@ def release_shuffles(spark: SparkSession) -> None:
     Spark deletes them once the driver finds nothing that refers to them, which a driver with little to do may
     not look for until the disks are full.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round frees on this side, the second finds on the other
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 @contextmanager

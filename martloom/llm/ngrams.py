@@ -56,6 +56,14 @@ def from_planes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
+def packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 @dataclass
 class Block:
     lengths: np.ndarray  # tokens of each text, its end included
@@ -66,7 +74,7 @@ class Block:
     @staticmethod
     def read(lengths: bytes, trained: bytes, ids: bytes, words: bytes) -> Block:
         return Block(
-            np.frombuffer(lengths, np.int64), np.frombuffer(trained, np.bool_), from_planes(ids, np.int32), words.split(b"\n")
+            np.frombuffer(lengths, np.int64), np.frombuffer(trained, np.bool_), from_planes(unpacked(ids), np.int32), unpacked(words).split(b"\n")
         )
 
     def hashes(self) -> np.ndarray:
@@ -144,15 +152,6 @@ def from_keys(data: bytes) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
-def packed_words(words: list[bytes]) -> bytes:
-    """Words, which hold no line break, compressed together."""
-    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
-
-
-def unpacked_words(data: bytes) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(data).split(b"\n")
-
-
 def dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of requests by bucket, and where each bucket begins in it (one more than there are)."""
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
@@ -282,7 +281,7 @@ def _blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame
 
         def made():
             ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            data = [np.array(lengths, np.int64).tobytes(), np.array(trained, np.bool_).tobytes(), planes(ids), b"\n".join(known)]
+            data = [np.array(lengths, np.int64).tobytes(), np.array(trained, np.bool_).tobytes(), packed(planes(ids)), packed(b"\n".join(known))]
             columns = [pa.array([keys], pa.list_(kind)), *[pa.array([x], pa.binary()) for x in data], pa.array([len(ids)], pa.int64())]
             return pa.record_batch(columns, ["keys", "lengths", "trained", "ids", "words", "tokens"])
 
@@ -325,7 +324,7 @@ def _packed(block: int, words: list[bytes] | None, hashes: np.ndarray, counts: n
     rows = []
     for b in np.flatnonzero(np.diff(starts)).tolist():
         part = slice(starts[b], starts[b + 1])
-        asked = [None, keys_of(hashes[part], buckets)] if words is None else [packed_words([words[i] for i in order[part].tolist()]), None]
+        asked = [None, keys_of(hashes[part], buckets)] if words is None else [packed(b"\n".join([words[i] for i in order[part].tolist()])), None]
         rows.append((b, block, *asked, planes(counts[part])))
     return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, _TYPES)], _NAMES)
 
@@ -363,7 +362,7 @@ def _answers(requests: DataFrame, of_pairs: bool) -> DataFrame:
             keys = np.concatenate([from_keys(x) for x in table.column("pairs").to_pylist()])
             _, place = np.unique(keys, return_inverse=True)
         else:
-            words = pa.array([w for x in table.column("words").to_pylist() for w in unpacked_words(x)], pa.binary())
+            words = pa.array([w for x in table.column("words").to_pylist() for w in unpacked(x).split(b"\n")], pa.binary())
             place = words.dictionary_encode().indices.to_numpy()
         totals = np.bincount(place, np.concatenate(counts)).astype(np.int64)
         if of_pairs:

@@ -38,7 +38,7 @@ class Settings:
     #: How many standard errors the share of a word among toxic texts must differ from that among all. With few toxic texts no
     #: word can differ by as much, so that a part of the square root of their number is enough.
     least_errors: float = 5.0
-    errors_by_root: float = 0.8
+    errors_by_root: float = 0.6
     #: Share of toxic texts among all; by default `margin` times the share among the labelled training
     #: rows. Below the true share the fit takes toxic texts for clean ones; above it the bound on the
     #: clean part of the risk keeps the harm small.

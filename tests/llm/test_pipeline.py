@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from martloom.llm import packing, quality, toxicity
 from martloom.llm.rows import tokenizer_path
-from tests.llm.test_quality import LAYOUT as THREE
+from tests.llm.test_divergence import LAYOUT as THREE
 from tests.llm.test_simhash import plain_print, roots_of
 
 LAYOUT = THREE + ", source STRING, n_chars LONG"

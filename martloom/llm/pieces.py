@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 import struct
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,6 +30,8 @@ VOCABULARY = "piece_bpe_32k.model"
 #: Bytes of a task's table, counted with what Python adds to each entry.
 TABLE_BYTES = 150_000_000
 ENTRY_BYTES = 300
+#: Chunks of no more characters are segmented without a heap.
+SHORT = 40
 
 MARKER = "▁"
 # Fixed values of the model file: kinds of pieces, the model type, and the field numbers that are read.
@@ -96,7 +98,32 @@ class Model:
 
     def segment(self, chunk: str) -> list[int]:
         """Ids of a chunk: of neighbours whose union is a piece the best are joined first, the left ones of equals."""
-        parts: list[str] = list(chunk)
+        parts = self._short(list(chunk)) if len(chunk) <= SHORT else self._long(list(chunk))
+        ids: list[int] = []
+        for part in parts:
+            i = self.ids.get(part)
+            ids += [i] if i is not None else [self.byte_ids[b] for b in part.encode()]
+        return ids
+
+    def _short(self, parts: list[str]) -> list[str]:
+        """Joins by looking through all neighbours each time, which is quickest for a few."""
+        rank, never = self.order.get, math.inf
+        ranks = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
+                break
+            i = ranks.index(best)
+            whole = parts[i] = parts[i] + parts.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(whole + parts[i + 1], never)
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + whole, never)
+        return parts
+
+    def _long(self, parts: list[str]) -> list[str]:
+        """The same with the neighbours in a heap; those whose parts have changed since are passed over."""
         n, order = len(parts), self.order
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = []
@@ -123,12 +150,7 @@ class Model:
                 rank = order.get(parts[start] + whole)
                 if rank is not None:
                     heapq.heappush(waiting, (rank, start, left, size + len(parts[start])))
-        ids: list[int] = []
-        for part in parts:
-            if part:
-                i = self.ids.get(part)
-                ids += [i] if i is not None else [self.byte_ids[b] for b in part.encode()]
-        return ids
+        return [part for part in parts if part]
 
     def of_chunk(self, chunk: bytes) -> list[int]:
         """Ids of a chunk given without its first marker."""
@@ -178,7 +200,7 @@ class ChunkTable:
     def __init__(self, pieces: Model):
         self.pieces = pieces
         self.place: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.ids: list[list[int]] = []
         self.written: list[bytes] = []  # the ids as decimal numbers, a space after each
         self.decoded: list[bytes] = []
         self.bytes = 0
@@ -189,7 +211,7 @@ class ChunkTable:
         for chunk in set(run).difference(self.place):
             ids = pieces.of_chunk(chunk)
             self.place[chunk] = len(self.ids)
-            self.ids.append(np.array(ids, np.int32))
+            self.ids.append(ids)
             self.written.append(" ".join(map(str, ids)).encode() + b" ")
             self.decoded.append(b"".join([raw[i] for i in ids]))
             self.bytes += ENTRY_BYTES + 10 * len(ids) + 2 * len(chunk)
@@ -213,9 +235,8 @@ class Encoder:
                 self.table = ChunkTable(self.pieces)
             yield self.table, self.table.places(run)
 
-    def ids(self, text: bytes) -> np.ndarray:
-        found = [table.ids[p] for table, places in self.runs(text) for p in places]
-        return np.concatenate([*found, np.array([self.pieces.end], np.int32)])
+    def ids(self, text: bytes) -> list[int]:
+        return [i for table, places in self.runs(text) for p in places for i in table.ids[p]] + [self.pieces.end]
 
     def digests(self, text: bytes) -> tuple[int, str, str]:
         """How many ids, the sha256 of them written with a space between, and that of the text they decode to."""

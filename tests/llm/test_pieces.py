@@ -37,6 +37,15 @@ def test_chunks_match_the_library(library):
         assert own.decode(ids).decode(errors="replace") == library.decode(ids), repr(text)
 
 
+def test_both_ways_of_joining_agree(library):
+    own = pieces.Model(PATH)
+    for text in [*texts(1500, 11), "▁▁▁▁▁▁▁", "aaaaaaaaaaaaaaaa"]:
+        for run in pieces.chunks(text.encode()):
+            for chunk in run:
+                parts = list("▁" + chunk.decode().replace(" ", "▁"))
+                assert own._short(list(parts)) == own._long(list(parts))
+
+
 def test_models_that_change_text_are_refused(tmp_path):
     data = open(PATH, "rb").read()
     changed = data.replace(b"\x0a\x08identity\x12\x00\x18\x01\x20\x00", b"\x0a\x08identity\x12\x00\x18\x01\x20\x01")
@@ -75,9 +84,9 @@ def test_a_chunk_is_segmented_once_and_full_tables_are_left(library, monkeypatch
     encoder = pieces.Encoder(pieces.Model(PATH))
     some = [*texts(300, 8), "one two three one two three"]
     for text in some * 2:
-        assert encoder.ids(text.encode()).tolist() == library.encode(text, add_eos=True)
+        assert encoder.ids(text.encode()) == library.encode(text, add_eos=True)
     assert len(met) == len(set(met))
     monkeypatch.setattr(pieces, "TABLE_BYTES", 2000)
     for text in some:
-        assert encoder.ids(text.encode()).tolist() == library.encode(text, add_eos=True)
+        assert encoder.ids(text.encode()) == library.encode(text, add_eos=True)
     assert encoder.table.bytes < 2000 + pieces.ENTRY_BYTES * 40

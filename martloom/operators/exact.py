@@ -29,8 +29,8 @@ def _scaled(x: Column, power: Column) -> Column:
     return x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
 
 
-def _carried(parts: Column, sign: Column) -> Column:
-    """The digits of the sum of `parts` times `sign`, lowest first, and the carry above them."""
+def _carried(parts: Column) -> Column:
+    """The digits of the sum of `parts`, lowest first, and the carry above them: 0, or -1 for a negative sum."""
     zero = F.lit(0).cast("decimal(38,0)")
     base = F.lit(_DIGIT).cast("decimal(20,0)")
 
@@ -42,7 +42,7 @@ def _carried(parts: Column, sign: Column) -> Column:
         return F.aggregate(parts, zero, add)
 
     def step(state: Column, k: Column) -> Column:
-        whole = (at(k) * sign + state["carry"]).cast("decimal(38,0)")
+        whole = (at(k) + state["carry"]).cast("decimal(38,0)")
         digit = F.pmod(whole, base).cast("bigint")
         carry = ((whole - digit) / base).cast("decimal(38,0)")
         return F.struct(carry.alias("carry"), F.concat(state["digits"], F.array(digit)).alias("digits"))
@@ -52,13 +52,28 @@ def _carried(parts: Column, sign: Column) -> Column:
     return F.aggregate(places, start, step)
 
 
+def _negated(digits: Column) -> Column:
+    """The digits of minus a number whose carry is -1: all ones minus each digit, from the first that is not zero."""
+    first = F.array_min(_places(digits))
+
+    def turn(d: Column, i: Column) -> Column:
+        return F.when(i < first, F.lit(0)).when(i == first, _DIGIT - d).otherwise(_DIGIT - 1 - d).cast("bigint")
+
+    return F.transform(digits, turn)
+
+
+def _places(digits: Column) -> Column:
+    """The positions of the digits that are not zero."""
+    return F.filter(F.transform(digits, lambda d, i: F.when(d != 0, i)), lambda i: i.isNotNull())
+
+
 def _rounded(digits: Column, lowest: Column) -> Column:
     """The double nearest to a number of base 2^32 digits, lowest first; `lowest` is the bin of the first.
 
     The 21 bits below the top digit's are read exactly into one double and the next 52 into another, whose last
     bit also tells whether anything follows. Both are exact, so adding them rounds once.
     """
-    used = F.filter(F.transform(digits, lambda d, i: F.when(d != 0, i)), lambda i: i.isNotNull())
+    used = _places(digits)
     top = F.array_max(used)
 
     def digit(below: int) -> Column:
@@ -127,16 +142,16 @@ def exact_group(
         *[F.sum(of(i, "special")).alias(f"special_{i}") for i in range(len(exact))],
         *[F.sum(f"whole_{i}").alias(f"whole_{i}") for i in range(len(wholes))],
     )
+    gathered = gathered.select("*", *[_carried(F.col(f"parts_{i}")).alias(f"sum_{i}") for i in range(len(exact))])
+    negative = [F.col(f"sum_{i}.carry") < 0 for i in range(len(exact))]
+    digits = [F.col(f"sum_{i}.digits") for i in range(len(exact))]
+    gathered = gathered.select(
+        "*", *[F.when(minus, _negated(d)).otherwise(d).alias(f"digits_{i}") for i, (minus, d) in enumerate(zip(negative, digits))]
+    )
     results = []
     for i, name in enumerate(exact):
-        gathered = gathered.withColumn(f"up_{i}", _carried(F.col(f"parts_{i}"), F.lit(1)))
-        negative = F.col(f"up_{i}.carry") < 0
-        gathered = gathered.withColumn(
-            f"digits_{i}",
-            F.when(negative, _carried(F.col(f"parts_{i}"), F.lit(-1))["digits"]).otherwise(F.col(f"up_{i}.digits")),
-        )
         size = _rounded(F.col(f"digits_{i}"), F.array_min(F.col(f"parts_{i}.bin")))
-        total = F.when(negative, -size).otherwise(size)
+        total = F.when(negative[i], -size).otherwise(size)
         total = F.when(F.col(f"n_{i}") > 0, F.coalesce(F.col(f"special_{i}"), total))
         results.append((F.try_divide(total, F.col(f"n_{i}")) if name in means else total).alias(name))
     return gathered.select(
@@ -144,3 +159,21 @@ def exact_group(
         *results,
         *[F.col(f"whole_{i}").alias(name) for i, name in enumerate(wholes)],
     )
+
+
+def group_means(
+    rows: DataFrame,
+    by: list[str],
+    means: Mapping[str, str],
+    wholes: Mapping[str, str] | None = None,
+    exact: bool = False,
+) -> DataFrame:
+    """Means of doubles and sums of whole numbers per group; `exact` takes the sums of the means exactly.
+
+    Plain averages are the cheaper choice where the last bits of a result do not matter.
+    """
+    if exact:
+        return exact_group(rows, by, means=means, wholes=wholes)
+    return rows.groupBy(*by).agg(
+        *[F.avg(c).alias(name) for name, c in means.items()], *[F.sum(c).alias(name) for name, c in (wholes or {}).items()]
+    )

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.geometry import centroid
+from martloom.functions.numbers import zero_if_null
+from martloom.operators.exact import group_means
 from martloom.operators.nearest import distinct_positions, nearest_site
-from martloom.plans.temporal import total
 from martloom.storage import store
 
 # Ring size of the busiest area, areas named in the triage matrix.
@@ -15,24 +16,19 @@ RING_SIZE = 800
 TOP_AREAS = 5
 
 
-def area_rollup(fact: DataFrame, location: DataFrame) -> DataFrame:
+def area_rollup(fact: DataFrame, location: DataFrame, exact: bool = False) -> DataFrame:
     """Per zip the volume and the unweighted mean of its locations' mean response times.
 
     The two levels are meant: each location counts once, however many incidents it has. The result
-    is stored, since every other geographic mart reads it more than once.
+    is stored, since every other geographic mart reads it more than once. With `exact`, the means of
+    both levels do not depend on the order of rows.
     """
-    per_location = (
-        fact.filter(F.col("location_key").isNotNull())
-        .groupBy("location_key")
-        .agg(total("nb_interventions").alias("volume"), F.avg("response_time").alias("response"))
-    )
-    per_zip = (
-        per_location.join(location.select("location_key", "zipcode"), "location_key")
-        .filter(F.col("zipcode").isNotNull())
-        .groupBy("zipcode")
-        .agg(F.sum("volume").alias("nb_interventions"), F.avg("response").alias("response_time"))
-    )
-    return store(per_zip, "area_rollup")
+    placed = fact.filter(F.col("location_key").isNotNull())
+    per_location = group_means(placed, ["location_key"], {"response": "response_time"}, {"n": "nb_interventions"}, exact)
+    per_location = per_location.withColumn("volume", zero_if_null(F.col("n")))
+    named = per_location.join(location.select("location_key", "zipcode"), "location_key").filter(F.col("zipcode").isNotNull())
+    per_zip = group_means(named, ["zipcode"], {"response_time": "response"}, {"nb_interventions": "volume"}, exact)
+    return store(per_zip.select("zipcode", "nb_interventions", "response_time"), "area_rollup")
 
 
 def area_points(areas: DataFrame) -> DataFrame:

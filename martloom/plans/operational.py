@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.bins import bin_edges, bin_top
 from martloom.functions.numbers import zero_if_null
+from martloom.operators.exact import group_means
 from martloom.operators.fits import quadratic_fit
 from martloom.plans.temporal import total
 from martloom.storage import store
@@ -77,21 +78,18 @@ def _to(labelled: bool):
     return F.concat("final_call_type", F.lit(TO_LABEL if labelled else ""))
 
 
-def hourly_load(fact: DataFrame) -> DataFrame:
+def hourly_load(fact: DataFrame, exact: bool = False) -> DataFrame:
     """Per hour on the calendar the units deployed and the mean dispatch time."""
-    return (
-        fact.filter(F.col("date_key").isNotNull() & F.col("hour").isNotNull())
-        .groupBy("date_key", "hour")
-        .agg(total("total_units").alias("total_units"), F.avg("dispatch_time").alias("dispatch_time"))
-    )
+    placed = fact.filter(F.col("date_key").isNotNull() & F.col("hour").isNotNull())
+    folded = group_means(placed, ["date_key", "hour"], {"dispatch_time": "dispatch_time"}, {"n": "total_units"}, exact)
+    return folded.select("date_key", "hour", zero_if_null(F.col("n")).alias("total_units"), "dispatch_time")
 
 
-def stress_test(fact: DataFrame, width: int = LOAD_WIDTH) -> DataFrame:
+def stress_test(fact: DataFrame, width: int = LOAD_WIDTH, exact: bool = False) -> DataFrame:
     """Mean of the hourly mean dispatch times per load bin, only bins that occur."""
-    hours = hourly_load(fact).filter((F.col("dispatch_time") < DISPATCH_BELOW) & (F.col("total_units") > 0))
-    binned = hours.groupBy(bin_top(F.col("total_units"), width).alias("top")).agg(
-        F.avg("dispatch_time").alias("dispatch_time")
-    )
+    hours = hourly_load(fact, exact).filter((F.col("dispatch_time") < DISPATCH_BELOW) & (F.col("total_units") > 0))
+    hours = hours.withColumn("top", bin_top(F.col("total_units"), width))
+    binned = group_means(hours, ["top"], {"dispatch_time": "dispatch_time"}, exact=exact)
     return binned.select(*bin_edges(F.col("top"), width), "dispatch_time")
 
 
@@ -118,13 +116,10 @@ def resource_consumption(fact: DataFrame, types: DataFrame, k: int = TOP_CONSUME
     return resource_use(fact, types).orderBy(F.desc("resource_hours"), F.asc("category")).limit(k)
 
 
-def delay_anatomy(fact: DataFrame) -> DataFrame:
+def delay_anatomy(fact: DataFrame, exact: bool = False) -> DataFrame:
     """Per hour the mean dispatch and travel times as percentages of their sum."""
-    means = (
-        fact.filter(F.col("hour").isNotNull())
-        .groupBy("hour")
-        .agg(F.avg("dispatch_time").alias("dispatch"), F.avg("travel_time").alias("travel"))
-    )
+    timed = fact.filter(F.col("hour").isNotNull())
+    means = group_means(timed, ["hour"], {"dispatch": "dispatch_time", "travel": "travel_time"}, exact=exact)
     whole = F.col("dispatch") + F.col("travel")
     return means.select(
         "hour",

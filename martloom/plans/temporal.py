@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.bins import bin_edges, bin_floor, bin_top
 from martloom.functions.numbers import zero_if_null
+from martloom.operators.exact import group_means
 from martloom.operators.fits import linear_fit
 from martloom.storage import store
 
@@ -28,13 +29,11 @@ def total(col: str) -> Column:
     return zero_if_null(F.sum(col))
 
 
-def volume_vs_speed(fact: DataFrame) -> DataFrame:
-    """Per hour the volume and the mean travel time."""
-    return (
-        fact.filter(F.col("hour").isNotNull())
-        .groupBy("hour")
-        .agg(total("nb_interventions").alias("nb_interventions"), F.avg("travel_time").alias("travel_time"))
-    )
+def volume_vs_speed(fact: DataFrame, exact: bool = False) -> DataFrame:
+    """Per hour the volume and the mean travel time; `exact` means do not depend on the order of rows."""
+    timed = fact.filter(F.col("hour").isNotNull())
+    folded = group_means(timed, ["hour"], {"travel_time": "travel_time"}, {"n": "nb_interventions"}, exact)
+    return folded.select("hour", zero_if_null(F.col("n")).alias("nb_interventions"), "travel_time")
 
 
 def volume_by_category(fact: DataFrame, types: DataFrame) -> DataFrame:
@@ -68,14 +67,11 @@ def heatmap_wide(counts: DataFrame) -> DataFrame:
     return counts.groupBy("category").pivot("hour", HOURS).agg(F.sum("n")).fillna(0)
 
 
-def shift_change(fact: DataFrame) -> DataFrame:
+def shift_change(fact: DataFrame, exact: bool = False) -> DataFrame:
     """Per hour the mean dispatch time, shift changes marked."""
-    return (
-        fact.filter(F.col("hour").isNotNull())
-        .groupBy("hour")
-        .agg(F.avg("dispatch_time").alias("dispatch_time"))
-        .withColumn("is_shift_change", F.col("hour").isin(*SHIFT_CHANGES).cast("int"))
-    )
+    timed = fact.filter(F.col("hour").isNotNull())
+    folded = group_means(timed, ["hour"], {"dispatch_time": "dispatch_time"}, exact=exact)
+    return folded.withColumn("is_shift_change", F.col("hour").isin(*SHIFT_CHANGES).cast("int"))
 
 
 def volume_by_weather(fact: DataFrame, weather: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.operators.keys import attach_key, dense_key
+from martloom.operators.keys import HEAVY_KEYS, attach_key, dense_key, heavy_keys
 from martloom.storage import fits_broadcast, kept_until_done, store
 
 
@@ -70,6 +70,43 @@ def test_broadcast_and_salted_attachment_agree(spark, null_safe):
         assert r["key"] == (lookup.get((r["zip"], r["borough"])) if null_safe or complete else None)
 
 
+def test_only_heavy_keys_are_copied(spark):
+    fact = hot_fact(spark)
+    heavy = {r["heavy"]: r["copies"] for r in heavy_keys(fact, F.xxhash64(F.col("zip").cast("bigint"))).collect()}
+    hashes = {r["h"]: r["zip"] for r in fact.select("zip", F.xxhash64(F.col("zip").cast("bigint")).alias("h")).distinct().collect()}
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = {r["zip"]: r["count"] for r in fact.groupBy("zip").count().collect()}
+    assert {hashes[h] for h in heavy} == {z for z, n in counts.items() if n * HEAVY_KEYS > 3000}
+    assert sum(heavy.values()) <= partitions + 2 * len(heavy)
+    rare = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("zip"))
+    assert heavy_keys(rare, F.xxhash64("zip")).count() == 1
+    assert heavy_keys(rare.limit(0), F.xxhash64("zip")).count() == 0
+
+
+def test_heavy_rows_are_spread(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("zip"))
+    dim = spark.range(20_000).select(F.col("id").alias("zip"), (F.col("id") * 2).alias("key"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = attach_key(rows, dim, [("zip", "zip")], "key", broadcast_rows=0)
+        assert out.filter("key is null or key <> zip * 2").count() == 0 and out.count() == 20_000
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 20_000 / 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "bigint", "decimal(9,2)"])
+def test_keys_of_differing_types_still_meet(spark, kind):
+    fact = hot_fact(spark)
+    dim = spark.range(40).select(F.col("id").cast(kind).alias("zip"), F.col("id").alias("key"))
+    big = attach_key(fact, dim, [("zip", "zip")], "key", broadcast_rows=0)
+    assert sorted(big.collect()) == sorted(attach_key(fact, dim, [("zip", "zip")], "key").collect())
+    assert big.filter("key is not null").count() == fact.filter("zip < 40").count()
+
+
 def test_salted_side_is_not_broadcast_when_too_big(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -90,3 +90,30 @@ def test_triage_and_speed_trap(spark):
     areas = spark.createDataFrame([("1",), ("3",), ("9",)], "area_code string")
     trap = {r["area_code"]: (r["nb_interventions"], r["ring_size"]) for r in geo.speed_trap(rollup, areas).collect()}
     assert trap == {"1": (100, 800.0), "3": (90, 720.0), "9": (None, None)}
+
+
+def test_exact_means_do_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [
+        (int(h), int(d), int(u), float(a), float(b), int(k))
+        for h, d, u, a, b, k in zip(
+            rng.integers(0, 24, 2000), rng.integers(1, 4, 2000), rng.integers(1, 9, 2000),
+            rng.random(2000) * 99, rng.random(2000) * 99, rng.integers(0, 40, 2000),
+        )
+    ]
+    columns = "hour int, date_key int, total_units int, dispatch_time double, travel_time double, location_key int"
+    location = spark.createDataFrame([(k, 100 + k % 5) for k in range(40)], "location_key int, zipcode int")
+
+    def marts(order, parts, exact):
+        fact = spark.createDataFrame([rows[i] for i in order], columns).repartition(parts)
+        fact = fact.withColumn("nb_interventions", F.lit(1)).withColumn("response_time", F.col("dispatch_time"))
+        results = [
+            temporal.volume_vs_speed(fact, exact), temporal.shift_change(fact, exact), ops.stress_test(fact, exact=exact),
+            ops.delay_anatomy(fact, exact), geo.area_rollup(fact, location, exact),
+        ]
+        return [sorted(tuple(r) for r in df.collect()) for df in results]
+
+    first = marts(range(2000), 2, True)
+    assert first == marts(rng.permutation(2000), 7, True)
+    for got, plain in zip(first, marts(range(2000), 3, False)):
+        assert np.allclose(np.array(got, float), np.array(plain, float))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martloom.operators.components import Components, correlation_table, fit_components
+from martloom.operators.exact import exact_group
 from martloom.operators.nearest import nearest_site
 from martloom.plans import geographic as geo
 from martloom.plans import multivariate as multi
@@ -180,7 +181,7 @@ def temp_trend_floor(spark, sf):
 # --- geographic ---
 
 
-def rollup(spark, sf):
+def rollup(spark, sf, exact=False):
     """Orders are the incidents, customers the locations, nations the zips."""
     fact = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("location_key"),
@@ -190,7 +191,7 @@ def rollup(spark, sf):
     location = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("location_key"), (F.col("c_nationkey") + 10000).alias("zipcode")
     )
-    return geo.area_rollup(fact, location)
+    return geo.area_rollup(fact, location, exact)
 
 
 ROLLUP = """
@@ -212,6 +213,17 @@ def area_rollup(spark, sf):
     return rollup(spark, sf)
 
 
+@query(
+    "exact_area_rollup",
+    "zipcode:int nb_interventions:int response_time:float6",
+    "SELECT * FROM rollup_areas",
+    ROLLUP,
+)
+def exact_area_rollup(spark, sf):
+    """The two-level mean with sums that do not depend on the order of rows."""
+    return rollup(spark, sf, exact=True)
+
+
 @query(
     "speed_trap",
     "area_code:text nb_interventions:int response_time:float6 ring_size:float6",
@@ -412,6 +424,35 @@ def stress_test(spark, sf):
     return ops.stress_test(incidents_b(spark, sf))
 
 
+STRESS = """SELECT ceil(units / 20.0) * 20 - 20 AS bin_lo, ceil(units / 20.0) * 20 AS bin_hi, ceil(units / 20.0) * 20 - 10 AS bin_mid,
+         avg(dispatch) AS dispatch_time
+       FROM (SELECT date_key, hour, sum(total_units) AS units, avg(dispatch_time) AS dispatch FROM ib GROUP BY 1, 2)
+       WHERE dispatch < 600 AND units > 0 GROUP BY 1, 2, 3"""
+
+
+@query("exact_stress_test", "bin_lo:int bin_hi:int bin_mid:float dispatch_time:float6", STRESS, INCIDENTS)
+def exact_stress_test(spark, sf):
+    """Both levels of means with sums that do not depend on the order of rows."""
+    return ops.stress_test(incidents_b(spark, sf), exact=True)
+
+
+@query(
+    "exact_charges",
+    "l_returnflag:text l_linestatus:text charge:float mean_charge:float n:int",
+    """SELECT l_returnflag, l_linestatus, total AS charge, total / n AS mean_charge, n FROM (
+         SELECT *, (CAST(units // 9007199254740992 AS DOUBLE) * CAST(9007199254740992 AS DOUBLE)
+                    + CAST(units % 9007199254740992 AS DOUBLE)) / CAST(1152921504606846976 AS DOUBLE) AS total
+         FROM (SELECT l_returnflag, l_linestatus, count(*) AS n, sum(CAST(charge * CAST(1152921504606846976 AS DOUBLE) AS HUGEINT)) AS units
+               FROM (SELECT *, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem) GROUP BY 1, 2))""",
+)
+def exact_charges(spark, sf):
+    """Sums and means of doubles bit for bit: the SQL adds them as whole numbers of 2^-60."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    lines = table(spark, sf, "lineitem").withColumn("charge", charge)
+    by = ["l_returnflag", "l_linestatus"]
+    return exact_group(lines, by, means={"mean_charge": "charge"}, sums={"charge": "charge"}, wholes={"n": F.lit(1)})
+
+
 @query(
     "saturation_fit",
     "c0:float6 c1:float6 c2:float6 n:int",

@@ -12,7 +12,7 @@ nearest to the true sum, also where values cancel. A bin holds up to 10^11 rows
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,24 +67,48 @@ def _places(digits: Column) -> Column:
     return F.filter(F.transform(digits, lambda d, i: F.when(d != 0, i)), lambda i: i.isNotNull())
 
 
-def _rounded(digits: Column, lowest: Column) -> Column:
+def _rounded(digits: Column, used: Column, lowest: Column) -> Column:
     """The double nearest to a number of base 2^32 digits, lowest first; `lowest` is the bin of the first.
 
     The 21 bits below the top digit's are read exactly into one double and the next 52 into another, whose last
     bit also tells whether anything follows. Both are exact, so adding them rounds once.
     """
-    used = _places(digits)
-    top = F.array_max(used)
 
-    def digit(below: int) -> Column:
-        return F.coalesce(F.when(top >= below, F.get(digits, top - below)), F.lit(0))
+    def number(top: Column) -> Column:
+        def digit(below: int) -> Column:
+            return F.coalesce(F.when(top >= below, F.get(digits, top - below)), F.lit(0))
 
-    rest = (F.array_min(used) < top - 3) | (digit(3).bitwiseAND((1 << 23) - 1) != 0)
-    high = F.shiftleft(digit(0), 21) + F.shiftright(digit(1), 11)
-    low = F.shiftleft(digit(1).bitwiseAND((1 << 11) - 1), 41) + F.shiftleft(digit(2), 9) + F.shiftright(digit(3), 23)
-    low = F.when(rest, low.bitwiseOR(F.lit(1))).otherwise(low)
-    number = high.cast("double") * float(1 << 52) + low.cast("double")
-    return F.coalesce(_scaled(number, (lowest + top) * BIN - _UNIT - 73), F.lit(0.0))
+        rest = (F.array_min(used) < top - 3) | (digit(3).bitwiseAND((1 << 23) - 1) != 0)
+        high = F.shiftleft(digit(0), 21) + F.shiftright(digit(1), 11)
+        low = F.shiftleft(digit(1).bitwiseAND((1 << 11) - 1), 41) + F.shiftleft(digit(2), 9) + F.shiftright(digit(3), 23)
+        low = F.when(rest, low.bitwiseOR(F.lit(1))).otherwise(low)
+        both = high.cast("double") * float(1 << 52) + low.cast("double")
+        return F.coalesce(_scaled(both, (lowest + top) * BIN - _UNIT - 73), F.lit(0.0))
+
+    return _named(F.array_max(used), number)
+
+
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where `value` is computed once however often it is used, also after filters are pushed down."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _total(parts: Column) -> Column:
+    """The double nearest to the sum of the parts of a group; a group in one bin is one decimal."""
+    lowest = F.array_min(parts["bin"])
+    only = F.get(parts, 0)
+    units = (only["high"] * F.lit(_DIGIT).cast("decimal(10,0)") + only["low"]).cast("decimal(38,0)")
+
+    def signed(carried: Column) -> Column:
+        def rounded(digits: Column) -> Column:
+            return _named(_places(digits), lambda used: _rounded(digits, used, lowest))
+
+        negative = carried["carry"] < 0
+        size = _named(F.when(negative, _negated(carried["digits"])).otherwise(carried["digits"]), rounded)
+        return size * F.when(negative, F.lit(-1.0)).otherwise(F.lit(1.0))
+
+    one = _scaled(units.cast("double"), only["bin"] * BIN - _UNIT)
+    return F.when(F.size(parts) == 1, one).otherwise(_named(_carried(parts), signed))
 
 
 def exact_group(
@@ -142,17 +166,10 @@ def exact_group(
         *[F.sum(of(i, "special")).alias(f"special_{i}") for i in range(len(exact))],
         *[F.sum(f"whole_{i}").alias(f"whole_{i}") for i in range(len(wholes))],
     )
-    gathered = gathered.select("*", *[_carried(F.col(f"parts_{i}")).alias(f"sum_{i}") for i in range(len(exact))])
-    negative = [F.col(f"sum_{i}.carry") < 0 for i in range(len(exact))]
-    digits = [F.col(f"sum_{i}.digits") for i in range(len(exact))]
-    gathered = gathered.select(
-        "*", *[F.when(minus, _negated(d)).otherwise(d).alias(f"digits_{i}") for i, (minus, d) in enumerate(zip(negative, digits))]
-    )
     results = []
     for i, name in enumerate(exact):
-        size = _rounded(F.col(f"digits_{i}"), F.array_min(F.col(f"parts_{i}.bin")))
-        total = F.when(negative[i], -size).otherwise(size)
-        total = F.when(F.col(f"n_{i}") > 0, F.coalesce(F.col(f"special_{i}"), total))
+        total = F.coalesce(F.col(f"special_{i}"), _named(F.col(f"parts_{i}"), _total))
+        total = F.when(F.col(f"n_{i}") > 0, total)
         results.append((F.try_divide(total, F.col(f"n_{i}")) if name in means else total).alias(name))
     return gathered.select(
         *[F.col(k).alias(c) for k, c in zip(keys, by)],

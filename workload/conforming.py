@@ -375,6 +375,26 @@ def attach_location_key(spark, sf):
     return keyed.select(F.col("STARFIRE_INCIDENT_ID").alias("incident_id"), "location_key")
 
 
+@query(
+    "attach_large_lookup",
+    "l_orderkey:int l_linenumber:int order_ref:int customer:int",
+    """SELECT l_orderkey, l_linenumber, order_ref, o_custkey AS customer FROM (
+         SELECT *, CASE l_returnflag WHEN 'N' THEN (SELECT min(o_orderkey) FROM orders) WHEN 'A' THEN l_orderkey END AS order_ref
+         FROM lineitem) LEFT JOIN orders ON order_ref = o_orderkey""",
+)
+def attach_large_lookup(spark, sf):
+    """A lookup joined by shuffle to rows of which many share one key and many have none."""
+    orders = table(spark, sf, "orders")
+    first = orders.agg(F.min("o_orderkey")).scalar()
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_returnflag") == "N", first).when(F.col("l_returnflag") == "A", F.col("l_orderkey")).alias("order_ref"),
+    )
+    lookup = orders.select("o_orderkey", F.col("o_custkey").alias("customer"))
+    return attach_key(lines, lookup, [("order_ref", "o_orderkey")], "customer", broadcast_rows=0)
+
+
 WIDE_MATCH = " AND ".join(
     f"x.{c} IS NOT DISTINCT FROM d.{c}" for c in ("borough", "zip", "precinct", "council", "community", "school", "congress")
 )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.storage import fits_broadcast, store
+from martloom.storage import exists, fits_broadcast, store
 
 _POSITION = "__position"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -126,3 +126,24 @@ def attach_key(
         salted, copies = salted.drop("__heavy", "__copies"), copies.drop("__heavy", "__copies")
     condition = condition & (F.col("__salt") == F.col("__copy").cast("bigint"))
     return salted.join(copies, condition, "left").drop("__salt", "__copy", *names)
+
+
+def kept_keys(rows: DataFrame, path: str, key: str, natural: list[str]) -> DataFrame:
+    """Prefix distinct `rows` with the keys that the registry at `path` keeps for their `natural` columns.
+
+    What the registry does not know is numbered on from its highest key, in the order of `natural`, and appended; nothing
+    in it is ever changed, so a key stays with its row for good, also while the row is away. An append that was
+    cut off leaves fewer rows, which the next run numbers anew. One job at a time may extend a registry.
+    """
+    spark = rows.sparkSession
+    rows = store(rows, f"{key}_rows")
+    unseen, last = rows.select(*natural).distinct(), 0
+    pairs = [(c, c) for c in natural]
+    if exists(spark, path):
+        known = spark.read.parquet(path)
+        last = known.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+        unseen = attach_key(unseen, known, pairs, key, null_safe=True).filter(F.col(key).isNull()).drop(key)
+    fresh = dense_key(unseen, key, natural)
+    fresh.withColumn(key, F.col(key) + last).write.mode("append").parquet(path)
+    keyed = attach_key(rows, spark.read.parquet(path), pairs, key, null_safe=True)
+    return keyed.select(key, *[F.col(f"`{c}`") for c in rows.columns])

@@ -28,6 +28,11 @@ EMS = "EMS"
 FIRE = "FIRE"
 EMS_CATEGORY = "Medical"
 
+# What a row of a shared dimension is known by, in the order of its keys.
+LOCATION_ORDER = ["borough", "zipcode"]
+TYPE_ORDER = ["source", "type_code"]
+HOUR_ORDER = ["date_key", "hour"]
+
 # Code dimensions as (table, key, raw column).
 EMS_CODE_DIMS = [
     ("dim_ems_initial_call_type", "ems_initial_call_type_key", "INITIAL_CALL_TYPE"),
@@ -67,11 +72,14 @@ def dim_time_wide(frames: list[DataFrame]) -> DataFrame:
     return dim_time(frames, DATETIME_COLUMNS, week=True)
 
 
+def location_rows(frames: list[DataFrame], apart: tuple[str, ...] = ()) -> DataFrame:
+    """(zipcode, borough) pairs, per value of the columns `apart`; no zip, no row; an unknown borough is kept."""
+    pairs = [df.select(F.col("ZIPCODE").alias("zipcode"), F.col("BOROUGH_NORM").alias("borough"), *apart) for df in frames]
+    return _union(pairs).dropna(subset=["zipcode"]).distinct()
+
+
 def dim_location(frames: list[DataFrame]) -> DataFrame:
-    """(zipcode, borough) pairs; no zip, no row; an unknown borough is kept."""
-    pairs = [df.select(F.col("ZIPCODE").alias("zipcode"), F.col("BOROUGH_NORM").alias("borough")) for df in frames]
-    rows = _union(pairs).dropna(subset=["zipcode"]).distinct()
-    return dense_key(rows, "location_key", ["borough", "zipcode"])
+    return dense_key(location_rows(frames), "location_key", LOCATION_ORDER)
 
 
 def dim_location_wide(frames: list[DataFrame], columns: list[str] = LOCATION_COLUMNS) -> DataFrame:
@@ -82,7 +90,7 @@ def dim_location_wide(frames: list[DataFrame], columns: list[str] = LOCATION_COL
     return dense_key(rows.select(*ordered).distinct(), "location_key", ordered)
 
 
-def dim_site(raw: DataFrame) -> DataFrame:
+def site_rows(raw: DataFrame) -> DataFrame:
     """Site list reduced to name, area, address and position."""
     table = {
         "firehouse_name": ("FacilityName", null_tokens_to_null),
@@ -93,7 +101,11 @@ def dim_site(raw: DataFrame) -> DataFrame:
         "Longitude": ("Longitude", to_double),
     }
     columns = [f(F.col(c)).alias(name) for name, (c, f) in table.items() if c in raw.columns]
-    rows = raw.select(*columns).distinct()
+    return raw.select(*columns).distinct()
+
+
+def dim_site(raw: DataFrame) -> DataFrame:
+    rows = site_rows(raw)
     return dense_key(rows, "firehouse_key", rows.columns)
 
 
@@ -120,28 +132,32 @@ def bridge_area_site(sites_wide: DataFrame) -> DataFrame:
     )
 
 
-def dim_incident_type(ems: DataFrame, fire: DataFrame) -> DataFrame:
-    """One row per (source, code); of several categories for a code the smallest stays."""
+def type_rows(ems: DataFrame, fire: DataFrame, apart: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (source, code), and per value of the columns `apart`; of several categories for a code the smallest stays."""
     medical = ems.select(
         F.col("FINAL_CALL_TYPE").alias("type_code"),
         F.lit(EMS).alias("source"),
         F.lit(EMS_CATEGORY).alias("category"),
+        *apart,
     )
     graded = fire.select(
         F.col("INCIDENT_CLASSIFICATION").alias("type_code"),
         F.lit(FIRE).alias("source"),
         F.col("INCIDENT_CLASSIFICATION_GROUP").alias("category"),
+        *apart,
     )
-    rows = (
-        medical.unionByName(graded)
-        .dropna()
-        .groupBy("type_code", "source")
-        .agg(F.min("category").alias("category"))
-    )
-    return dense_key(rows, "incident_type_key", ["source", "type_code"])
+    return smallest_category(medical.unionByName(graded).dropna(), apart)
 
 
-def dim_weather(weather: DataFrame) -> DataFrame:
+def smallest_category(rows: DataFrame, apart: tuple[str, ...] = ()) -> DataFrame:
+    return rows.groupBy("type_code", "source", *apart).agg(F.min("category").alias("category"))
+
+
+def dim_incident_type(ems: DataFrame, fire: DataFrame) -> DataFrame:
+    return dense_key(type_rows(ems, fire), "incident_type_key", TYPE_ORDER)
+
+
+def hour_rows(weather: DataFrame) -> DataFrame:
     """One row per hour, extremes flagged. A repeated hour keeps its smallest reading; one that cannot be read is dropped."""
     at = parse_iso(F.col("time").cast("string"))
     hours = (
@@ -160,14 +176,17 @@ def dim_weather(weather: DataFrame) -> DataFrame:
         .agg(F.min("reading").alias("reading"))
         .select("date_key", "hour", "reading.*")
     )
-    rows = hours.withColumns(
+    return hours.withColumns(
         {
             "is_raining": flag(F.col("precip_in") > 0),
             "is_hot": flag(F.col("temp_f") > HOT_ABOVE),
             "is_cold": flag(F.col("temp_f") < COLD_BELOW),
         }
     )
-    return dense_key(rows, "weather_key", ["date_key", "hour"])
+
+
+def dim_weather(weather: DataFrame) -> DataFrame:
+    return dense_key(hour_rows(weather), "weather_key", HOUR_ORDER)
 
 
 def code_dims(frames: list[tuple[DataFrame, list[tuple[str, str, str]]]]) -> dict[str, DataFrame]:

@@ -32,6 +32,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system that holds `path`, and the path as it knows it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _located(spark, path)
+    return system.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete `path` with all below it, if it is there."""
+    system, folder = _located(spark, path)
+    system.delete(folder, True)
+
+
 _scope: ContextVar[str] = ContextVar("scope", default="")
 
 
@@ -76,8 +93,7 @@ def kept_until_done(spark: SparkSession) -> Iterator[None]:
     finally:
         path = _application_folder(spark)
         _scope.reset(before)
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, path)
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -7,10 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.times import parse_datetime
 from martloom.operators.components import fit_usable, numeric_columns
+from martloom.operators.keys import attach_key
 from martloom.plans import geographic, multivariate, operational, temporal
 from martloom.plans.facts import combined
 from martloom.plans.models import build_galaxy, build_star
+from martloom.plans.refresh import NO_YEAR, refresh_galaxy
 from martloom.sources.raw import read_areas, read_keyed_csv, read_text_table, read_weather, read_weather_json
 from martloom.sources.tables import read_table, write_csv, write_tables
 from martloom.storage import new_path
@@ -143,6 +146,35 @@ def built_resource_use(spark, sf):
     return operational.resource_use(built["Fact_Incidents_Fire"], built["Dim_IncidentType"])
 
 
+# --- the model brought up to date by years: facts say the same as a full build, through keys that only the registry knows ---
+
+REFRESHED = "fact:text year:int n:int zips:int codes:int temps:float6 seconds:float6"
+SAID = """count(*) AS n, coalesce(sum(zipcode), 0) AS zips, count(type_code) AS codes, coalesce(sum(temp_f), 0) AS temps, coalesce(sum(response_time), 0) AS seconds
+  FROM {} f LEFT JOIN dim_location USING (location_key) LEFT JOIN dim_type USING (incident_type_key) LEFT JOIN dim_weather USING (weather_key) GROUP BY 1, 2"""
+BY_YEAR = "SELECT '{}' AS fact, coalesce(f.date_key // 10000, 0) AS year, " + SAID
+
+
+@query("refreshed_galaxy", REFRESHED, f"{BY_YEAR.format('EMS', 'fa')} UNION ALL {BY_YEAR.format('FIRE', 'fb')}", BUILT)
+def refreshed_galaxy(spark, sf):
+    """All years but the last two at first, then those two and the rows without a time in a second call."""
+    raw = [roles.raw_a(spark, sf), roles.raw_b(spark, sf), roles.raw_sites(spark, sf), roles.raw_weather(spark, sf)]
+    seen = reduce(DataFrame.unionByName, [df.select(F.year(parse_datetime(F.col("INCIDENT_DATETIME"))).alias("y")) for df in raw[:2]])
+    years = sorted(r.y for r in seen.dropna().distinct().collect())
+    folder = new_path(spark, "refreshed")
+    for named in (years[:-2], [*years[-2:], NO_YEAR]):
+        if named:
+            refresh_galaxy(*raw, folder, named)
+    dims = [("Dim_Location", "location_key", "zipcode"), ("Dim_IncidentType", "incident_type_key", "type_code"), ("Dim_Weather", "weather_key", "temp_f")]
+    told = []
+    for tag, name in (("EMS", "Fact_Incidents_EMS"), ("FIRE", "Fact_Incidents_Fire")):
+        fact = read_table(spark, folder, name)
+        for dim, key, column in dims:
+            fact = attach_key(fact, read_table(spark, folder, dim), [(key, key)], column)
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("zipcode", "zips"), ("temp_f", "temps"), ("response_time", "seconds"))]
+        told.append(fact.groupBy(F.lit(tag).alias("fact"), "year").agg(F.count("*").alias("n"), F.count("type_code").alias("codes"), *sums))
+    return reduce(DataFrame.unionByName, told)
+
+
 # --- component runs; the sum and the squared sum of all eigenvalues follow from the correlations ---
 
 PARTS = "features:int ratio_sum:float6 eigen_sum:float6 eigen_squares:float6"

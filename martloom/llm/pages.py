@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -62,7 +63,7 @@ DOMINANT = 0.6
 LEAST_VOTES = 0.05
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>"
+    r"(?P<comment><!--.*?(?:-->|\Z))|(?P<cdata><!\[CDATA\[)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(?P<broken>/?[a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>",
     re.S,
@@ -74,11 +75,11 @@ _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
 @dataclass
 class Page:
-    """Elements in page order: parent, path and how much text, also without blocks of links only; blocks of text with
-    the element they stand in."""
+    """Elements in page order: parent, step of the path and how much text, also without blocks of links only; blocks of
+    text with the element they stand in. A parent comes before its children, so one pass does for whole branches."""
 
     parents: list[int] = field(default_factory=lambda: [-1])
-    paths: list[str] = field(default_factory=lambda: [""])
+    steps: list[str] = field(default_factory=lambda: [""])
     container: list[bool] = field(default_factory=lambda: [True])
     whole: list[bool] = field(default_factory=lambda: [False])
     sizes: list[int] = field(default_factory=lambda: [0])
@@ -88,6 +89,22 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)
     block_prose: list[int] = field(default_factory=list)
 
+    def path(self, node: int) -> str:
+        """Tags and classes from the page down to `node`."""
+        steps = []
+        while node > 0:
+            steps.append(self.steps[node])
+            node = self.parents[node]
+        return "".join(reversed(steps))
+
+    def _at(self, path: str) -> set[int]:
+        """Containers with this path."""
+        reached = [0]  # how much of the path leads to a node, or -1 off it
+        for step, parent in zip(self.steps[1:], self.parents[1:]):
+            before = reached[parent]
+            reached.append(before + len(step) if before >= 0 and path.startswith(step, before) else -1)
+        return {n for n, length in enumerate(reached) if length == len(path) and self.container[n]}
+
     def choice(self) -> int:
         """The deepest container that leaves no text outside but blocks of links, and none at all of an article."""
         children: dict[int, list[int]] = {}
@@ -112,7 +129,7 @@ class Page:
         if path is None:
             roots = {self.choice()}
         else:
-            roots = {n for n, p in enumerate(self.paths) if p == path and self.container[n]}
+            roots = self._at(path)
         inside = []
         for node, parent in enumerate(self.parents):
             inside.append(node in roots or (parent >= 0 and inside[parent]))
@@ -123,14 +140,14 @@ class Page:
 
     def _cuts(self, inside: list[bool]) -> bool:
         """Whether some article has blocks both inside and outside."""
+        tops: list[int] = []  # the outermost article around each element, or -1
+        for node, parent in enumerate(self.parents):
+            around = tops[parent] if parent >= 0 else -1
+            tops.append(around if around >= 0 or not self.whole[node] else node)
         both: dict[int, set[bool]] = {}
         for node, _ in self.blocks:
-            here, top = node, None
-            while here >= 0:
-                top = here if self.whole[here] else top
-                here = self.parents[here]
-            if top is not None:
-                both.setdefault(top, set()).add(inside[node])
+            if tops[node] >= 0:
+                both.setdefault(tops[node], set()).add(inside[node])
         return any(len(x) > 1 for x in both.values())
 
     def leave_out(self) -> None:
@@ -154,15 +171,17 @@ class Page:
         kept = [(block, prose) for block, prose in zip(self.blocks, self.block_prose) if not out[block[0]]]
         self.container = [c and not o for c, o in zip(self.container, out)]
         self.blocks, self.block_prose = [b for b, _ in kept], [p for _, p in kept]
-        self.sizes, self.prose = [0] * len(self.parents), [0] * len(self.parents)
-        for (node, text), prose in kept:
-            self.count(node, len(text), prose)
+        self.count()
 
-    def count(self, node: int, size: int, prose: int) -> None:
-        while node >= 0:
-            self.sizes[node] += size
+    def count(self) -> None:
+        """How much text each element holds, its own and that of all below it."""
+        self.sizes, self.prose = [0] * len(self.parents), [0] * len(self.parents)
+        for (node, text), prose in zip(self.blocks, self.block_prose):
+            self.sizes[node] += len(text)
             self.prose[node] += prose
-            node = self.parents[node]
+        for node in range(len(self.parents) - 1, 0, -1):
+            self.sizes[self.parents[node]] += self.sizes[node]
+            self.prose[self.parents[node]] += self.prose[node]
 
 
 def _mark_of(token: str) -> str | None:
@@ -196,7 +215,10 @@ def parse(source: str, by_marks: bool = True) -> Page:
     stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
     held: list[str] = []
     plain = False  # whether some of what is held is no link
+    opened: Counter[str] = Counter()  # names on the stack
     at, end = 0, len(source)
+    last = source.rfind(">") + 1  # beyond it nothing is a tag
+    sections = source.rfind("]]>")  # beyond it no section ends
 
     def close_block(node: int) -> None:
         nonlocal plain
@@ -206,31 +228,44 @@ def parse(source: str, by_marks: bool = True) -> Page:
         if text:
             page.blocks.append((node, text))
             page.block_prose.append(prose)
-            page.count(node, len(text), prose)
+
+    def shut(depth: int) -> None:
+        opened.subtract(name for name, *_ in stack[depth:])
+        del stack[depth:]
 
     while at < end:
-        found = _TAG.search(source, at)
-        upto = found.start() if found else end
+        found = _TAG.search(source, at, last) if at < last else None
+        open_comment = -1 if found else source.find("<!--", at)
+        upto = found.start() if found else open_comment if open_comment >= 0 else end
         if upto > at and not stack[-1][2]:
             held.append(entities.unescape(source[at:upto]))
             plain = plain or (not stack[-1][4] and any(map(str.isalnum, held[-1])))
         if not found:
             break
         at = found.end()
+        if found["comment"] is not None:
+            # an open comment goes on to the end of the page
+            at = at if len(found["comment"]) >= 7 and found["comment"].endswith("-->") else end
+            continue
         if found["cdata"] is not None:
+            if at > sections:
+                at = source.index(">", at) + 1
+                continue
+            close = source.index("]]>", at)
             if not stack[-1][2]:
-                held.append(found["cdata"])
+                held.append(source[at:close])
                 plain = plain or not stack[-1][4]
+            at = close + 3
             continue
         name = (found["name"] or "").lower()
         if not name:
             continue
         if found["end"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if depth:
+            if opened[name]:
+                depth = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name)
                 if any(n not in INLINE for n, *_ in stack[depth:]):
                     close_block(stack[-1][1])
-                del stack[depth:]
+                shut(depth)
             continue
         if name in RAW:
             close = _RAW_END[name].search(source, at)
@@ -246,8 +281,10 @@ def parse(source: str, by_marks: bool = True) -> Page:
             # a block ends an open paragraph, and items and cells end those before them
             ending = CLOSES.get(name, set()) | {"p"} | ({"h1", "h2", "h3", "h4", "h5", "h6"} if name[:1] == "h" and name[1:].isdigit() else set())
             for i in range(len(stack) - 1, 0, -1):
+                if not any(opened[n] for n in ending):
+                    break
                 if stack[i][0] in ending:
-                    del stack[i:]
+                    shut(i)
                 elif stack[i][0] in SCOPES and stack[i][0] not in CLOSES:
                     break
             if name in VOID:
@@ -267,17 +304,17 @@ def parse(source: str, by_marks: bool = True) -> Page:
         classes = ".".join(sorted({re.sub("[0-9]+", "#", c) for c in described.get("class", "").split()}))
         node = len(page.parents)
         page.parents.append(parent)
-        page.paths.append(f"{page.paths[parent]}/{name}" + (f".{classes}" if classes else ""))
+        page.steps.append(f"/{name}.{classes}" if classes else f"/{name}")
         page.container.append(name in CONTAINERS and not left_out)
         page.whole.append(page.whole[parent] or (name not in ("html", "body") and not WHOLE.isdisjoint([name, *words])))
         page.marks.append(marks)
         page.article.append(name in ("article", "main"))
-        page.sizes.append(0)
-        page.prose.append(0)
         linked = name in INLINE and (in_link or (name == "a" and "href" in found["rest"].lower()))
+        opened[name] += 1
         stack.append((name, node, left_out, in_article or name == "article", linked))
     close_block(stack[-1][1])
     marked = hidden or any(page.marks)
+    page.count()
     page.leave_out()
     return parse(source, False) if marked and not page.sizes[0] else page
 
@@ -297,7 +334,7 @@ def paths_of_hosts(pages: DataFrame, url: str = "url", html: str = "html") -> Da
             chosen = []
             for source in batch.column("html").to_pylist():
                 page = parse(source)
-                chosen.append(page.paths[page.choice()] if page.sizes[0] else None)
+                chosen.append(page.path(page.choice()) if page.sizes[0] else None)
             yield pa.record_batch([batch.column("host"), pa.array(chosen, pa.string())], ["host", "path"])
 
     votes = rows.mapInArrow(vote, "host STRING, path STRING").filter("path IS NOT NULL")
@@ -328,7 +365,7 @@ def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
                 page = parse(source)
                 text, taken = None, None
                 if page.sizes[0]:
-                    own = page.paths[page.choice()]
+                    own = page.path(page.choice())
                     for taken in () if own in (offered or ()) else offered or ():
                         text = page.text(taken)
                         if text is not None:

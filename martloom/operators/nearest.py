@@ -1,14 +1,17 @@
 """Nearest site per point, exact, by descending a grid of nested cells.
 
-Sites are put into square cells that split 8 by 8 from depth to depth. Per point a short list of
-cells is kept: at each depth the children of the kept cells are joined in by cell id, the point's
-distance to the box around a child's sites is bounded from both sides, and children that cannot
-hold the nearest site are dropped. A child box is the tight box of its sites, so dense clusters
-far away are ruled out whole and never expanded site by site.
+Sites are put into square cells that split 8 by 8 from depth to depth. A child box is the tight box of
+its sites, and all children of a cell are one array, so a join by cell id hands a point all of them in one row.
+Points go down twice. First each follows one cell per depth to a leaf, which gives a distance that some site has.
+Then it keeps a short list of cells: children that lie beyond that distance, or beyond what another child holds at
+most, are dropped where they are measured, and only the few left are rows. Dense clusters far away are ruled out
+whole and never expanded site by site.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,22 +57,64 @@ def _constants(boxes: list[tuple]) -> Column:
     return F.expr(f"array({rows})")
 
 
-def _bounds(box) -> Column:
-    """A cell with the bounds of the squared distance from a point to the nearest site in its box."""
+def _low(box: Column) -> Column:
+    """No site of the box is nearer than this squared distance."""
+    x, y = F.col("px"), F.col("py")
+    return _squared(_nearest_gap(x, box["bx0"], box["bx1"]), _nearest_gap(y, box["by0"], box["by1"]))
+
+
+def _high(box: Column) -> Column:
+    """No site of the box is further off than this squared distance."""
     x, y = F.col("px"), F.col("py")
-    return F.struct(
-        box("kx").alias("cx"),
-        box("ky").alias("cy"),
-        _squared(_nearest_gap(x, box("bx0"), box("bx1")), _nearest_gap(y, box("by0"), box("by1"))).alias("low"),
-        _squared(_farthest_gap(x, box("bx0"), box("bx1")), _farthest_gap(y, box("by0"), box("by1"))).alias("high"),
+    return _squared(_farthest_gap(x, box["bx0"], box["bx1"]), _farthest_gap(y, box["by0"], box["by1"]))
+
+
+def _within_reach(boxes: str | Column) -> Column:
+    """The cells of `boxes` that may hold a site as near as one is known to be, with both bounds."""
+    kept = F.filter(boxes, lambda b: _low(b) <= F.col("reach"))
+    return F.transform(
+        kept, lambda b: F.struct(b["kx"].alias("cx"), b["ky"].alias("cy"), _low(b).alias("low"), _high(b).alias("high"))
     )
 
 
+def _children(placed: DataFrame, depth: int) -> DataFrame:
+    """Per cell of the depth above, the occupied cells that it splits into; no more than 64."""
+    up = [F.shiftright("kx", _STEP).alias("ux"), F.shiftright("ky", _STEP).alias("uy")]
+    return _cells(placed, depth).groupBy(*up).agg(F.collect_list(F.struct("kx", "ky", "bx0", "bx1", "by0", "by1")).alias("boxes"))
+
+
+def _leaves(placed: DataFrame, depth: int, chunks: int) -> DataFrame:
+    """The sites of each cell of a depth as arrays; `chunks` are the rows of a cell at most."""
+    chunk = F.pmod(F.xxhash64("sx", "sy"), F.lit(chunks)).alias("chunk")
+    cell = [_cell("gx", depth).alias("kx"), _cell("gy", depth).alias("ky"), chunk]
+    return placed.groupBy(*cell).agg(F.collect_list(F.struct("sx", "sy", "site_id")).alias("sites"))
+
+
+def _distance2(site: Column) -> Column:
+    return _squared(F.abs(F.col("px") - site["sx"]), F.abs(F.col("py") - site["sy"]))
+
+
+def _step(points: DataFrame, boxes: str | Column) -> DataFrame:
+    """Each point with the one cell of `boxes` that is sure to have a site nearest.
+
+    The cell comes out of a generator, below which no filter on it is pushed: it would be chosen twice, and before
+    the points are spread.
+    """
+    ranked = F.transform(boxes, lambda b: F.struct(_high(b).alias("high"), b["kx"].alias("cx"), b["ky"].alias("cy")))
+    chosen = F.explode_outer(F.array(F.array_min(ranked)))
+    return points.select("point_id", "px", "py", chosen.alias("c")).select("point_id", "px", "py", "c.cx", "c.cy")
+
+
+def _spread(points: DataFrame, cells: Column) -> DataFrame:
+    """A row per cell; a row without cells meets nothing."""
+    named = points.select("point_id", "px", "py", "reach", F.explode_outer(cells).alias("c"))
+    return named.select("point_id", "px", "py", "reach", "c.cx", "c.cy")
+
+
 def _prune(measured: DataFrame) -> DataFrame:
     """A row per cell of `cells` that is not further off than another can be at most."""
-    near = measured.withColumn("reach", F.array_min(F.transform("cells", lambda c: c["high"])))
-    kept = F.filter("cells", lambda c: c["low"] <= F.col("reach"))
-    return near.select("point_id", "px", "py", F.explode(kept).alias("c")).select("point_id", "px", "py", "c.cx", "c.cy")
+    near = measured.withColumn("reach", F.least("reach", F.array_min(F.transform("cells", lambda c: c["high"]))))
+    return _spread(near, F.filter("cells", lambda c: c["low"] <= F.col("reach")))
 
 
 def _meet(front: DataFrame, cells: DataFrame, kx: str, ky: str, small: bool) -> DataFrame:
@@ -141,24 +186,31 @@ def nearest_site(
     # the deepest grid of few cells is the root; its boxes travel as constants
     depths = len(cell_counts)
     root = max((d for d in range(1, depths + 1) if cell_counts[d - 1] <= _ROOT_CELLS), default=1)
-    boxes = [tuple(r) for r in _cells(placed, root).collect()]
-    in_row = F.transform(_constants(boxes), lambda b: _bounds(lambda name: b[name]))
-    front = _prune(wanted.repartition("point_id").withColumn("cells", in_row))
-    for depth in range(root + 1, depths + 1):
-        cells = _cells(placed, depth).withColumns(
-            {"ux": F.shiftright("kx", _STEP), "uy": F.shiftright("ky", _STEP)}
-        )
-        children = _meet(front, cells, "ux", "uy", cell_counts[depth - 1] <= BROADCAST_ROWS)
-        # one aggregate per point; a kept cell has at most 64 children
-        measured = children.groupBy("point_id", "px", "py").agg(F.collect_list(_bounds(F.col)).alias("cells"))
-        front = _prune(measured)
-
-    leaves = placed.select(
-        _cell("gx", depths).alias("kx"), _cell("gy", depths).alias("ky"), "sx", "sy", F.col("site_id").alias("leaf_site")
-    )
-    found = _meet(front, leaves, "kx", "ky", extent["n"] <= BROADCAST_ROWS)
-    distance2 = _squared(F.abs(F.col("px") - F.col("sx")), F.abs(F.col("py") - F.col("sy")))
-    best = F.min(F.struct(distance2.alias("distance2"), F.col("leaf_site").alias("site_id")))
-    return (
-        found.groupBy("point_id").agg(best.alias("best")).select("point_id", "best.site_id", "best.distance2")
+    boxes = _constants([tuple(r) for r in _cells(placed, root).collect()])
+    levels = [(_children(placed, d), cell_counts[d - 1] <= BROADCAST_ROWS) for d in range(root + 1, depths + 1)]
+    chunks = ceil(size["fullest"] / _LEAF_SITES)
+    leaves, few = _leaves(placed, depths, chunks), extent["n"] <= BROADCAST_ROWS
+
+    # small rows with much work each, so as many tasks as the session names and not as few as their bytes need
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    path = _step(wanted.repartition(tasks, "point_id"), boxes)
+    for children, small in levels:
+        path = _step(_meet(path, children, "ux", "uy", small), "boxes")
+    some = leaves if chunks == 1 else leaves.groupBy("kx", "ky").agg(F.min_by("sites", "chunk").alias("sites"))
+    reached = _meet(path, some, "kx", "ky", few).select(
+        "point_id", "px", "py", F.array_min(F.transform("sites", _distance2)).alias("reach")
     )
+
+    front = _spread(reached, _within_reach(boxes))
+    for children, small in levels:
+        met = _meet(front, children, "ux", "uy", small)
+        near = met.withColumn("cells", _within_reach("boxes"))
+        # one aggregate per point, over what its own reach has left
+        lists = near.groupBy("point_id", "px", "py", "reach").agg(F.flatten(F.collect_list("cells")).alias("cells"))
+        front = _prune(lists)
+
+    found = _meet(front, leaves, "kx", "ky", few)
+    ranked = F.transform("sites", lambda s: F.struct(_distance2(s).alias("distance2"), s["site_id"].alias("site_id")))
+    best = F.min("nearest").alias("best")
+    nearest = found.select("point_id", F.array_min(ranked).alias("nearest")).groupBy("point_id").agg(best)
+    return nearest.select("point_id", "best.site_id", "best.distance2")

@@ -80,3 +80,13 @@ def test_points_are_moved_once(spark):
     plan = nearest.nearest_site(p, s, "pid", "x", "y", "sid", "sx", "sy")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(point_id") == 1
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan
+
+
+def test_few_rows_meet_a_point(spark, monkeypatch):
+    """Cells and sites that cannot win are dropped where they are measured, before they are rows."""
+    met, meet = [], nearest._meet
+    monkeypatch.setattr(nearest, "_meet", lambda *a: met.append(out := meet(*a)) or out)
+    r = random.Random(10)
+    sites = [(r.uniform(0, 100), 4.0 * r.randrange(25)) for _ in range(4000)]
+    check(spark, [(r.uniform(0, 100), 4.0 * r.randrange(25)) for _ in range(200)], sites)
+    assert met and max(df.count() for df in met) <= 6 * 200

@@ -90,3 +90,12 @@ def test_few_rows_meet_a_point(spark, monkeypatch):
     sites = [(r.uniform(0, 100), 4.0 * r.randrange(25)) for _ in range(4000)]
     check(spark, [(r.uniform(0, 100), 4.0 * r.randrange(25)) for _ in range(200)], sites)
     assert met and max(df.count() for df in met) <= 6 * 200
+
+
+def test_more_sites_than_a_leaf_holds_in_the_smallest_cell(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "_DEPTHS", 1)
+    monkeypatch.setattr(nearest, "_RESOLUTION", 8)
+    monkeypatch.setattr(nearest, "_LEAF_SITES", 4)
+    r = random.Random(11)
+    sites = [(r.uniform(0, 9), r.uniform(0, 9)) for _ in range(300)] + [(5 + r.gauss(0, 1e-3), 5.0) for _ in range(100)]
+    check(spark, [(r.uniform(-1, 10), r.uniform(-1, 10)) for _ in range(100)] + [(5.0, 5.0)], sites)

@@ -30,7 +30,9 @@ def year_of(date_key: Column) -> Column:
 
 
 def _of_years(staged: DataFrame, years: list[int]) -> DataFrame:
-    return staged.withColumn(YEAR, year_of(F.col("DATE_KEY"))).filter(F.col(YEAR).isin(years))
+    """Only rows of these years. A filter is computed again from the raw text below, so it reads the time once."""
+    year = F.coalesce(F.year("INCIDENT_DATETIME"), F.lit(NO_YEAR))
+    return staged.filter(year.isin(years)).withColumn(YEAR, year_of(F.col("DATE_KEY")))
 
 
 def _contributions(ems: DataFrame, fire: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators.keys import kept_keys
+from martloom.plans import refresh
 from martloom.plans.models import build_galaxy
 from martloom.plans.refresh import NO_YEAR, refresh_galaxy
+from martloom.plans.staging import stage_ems
 from martloom.sources.tables import read_table
 
 EMS_HEAD = ["CAD_INCIDENT_ID", "INCIDENT_DATETIME", "ZIPCODE", "BOROUGH", "INITIAL_CALL_TYPE", "FINAL_CALL_TYPE", "INCIDENT_RESPONSE_SECONDS_QY"]
@@ -112,3 +114,12 @@ def test_a_registry_keeps_and_continues_keys(spark, tmp_path):
     assert run("a", "d", None) == {"a": 4, "d": 2, None: 3}
     assert run() == {} and run("a", "b", "c") == {"a": 4, "b": 1, "c": 5}
     assert spark.read.parquet(path).agg(F.count_distinct("k"), F.count("*")).first()[:] == (5, 5)
+
+
+def test_a_filter_of_years_reads_the_time_once(spark):
+    """The optimizer computes the filter from the raw text, beside the columns that are kept."""
+    text = F.col("id").cast("string")
+    raw = spark.range(3).select(*[text.alias(c) for c in ("INCIDENT_DATETIME", "ZIPCODE", "BOROUGH")])
+    plan = refresh._of_years(stage_ems(raw), [2024])._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert len(filters) == 1 and filters[0].count("gettimestamp") == 1

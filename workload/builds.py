@@ -159,7 +159,7 @@ def refreshed_galaxy(spark, sf):
     """All years but the last two at first, then those two and the rows without a time in a second call."""
     raw = [roles.raw_a(spark, sf), roles.raw_b(spark, sf), roles.raw_sites(spark, sf), roles.raw_weather(spark, sf)]
     seen = reduce(DataFrame.unionByName, [df.select(F.year(parse_datetime(F.col("INCIDENT_DATETIME"))).alias("y")) for df in raw[:2]])
-    years = sorted(r.y for r in seen.dropna().distinct().collect())
+    years = sorted(r.y for r in seen.distinct().collect() if r.y is not None)
     folder = new_path(spark, "refreshed")
     for named in (years[:-2], [*years[-2:], NO_YEAR]):
         if named:

@@ -51,11 +51,12 @@ def _words(text: Column) -> Column:
 def _repeated(words: Column) -> Column:
     """Words that lie in a window found twice or more.
 
-    Hashes of the windows tell the texts in which all differ. In the others the windows
+    Hashes of the windows, taken from one hash per word, tell the texts in which all differ. In the others the windows
     themselves are sorted, so that equal ones are neighbours, and the union of their places is measured.
     """
     starts = lambda n: F.sequence(F.lit(1), n)
-    hashes = lambda n: F.transform(starts(n), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+    window = lambda h, i: F.xxhash64(*[F.get(h, i + (k - 1)) for k in range(WINDOW)])
+    hashes = lambda n: let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(starts(n), lambda i: window(h, i)))
     windows = lambda n: F.sort_array(
         F.transform(starts(n), lambda i: F.struct(F.array_join(F.slice(words, i, WINDOW), " ").alias("w"), i.alias("at")))
     )
@@ -156,11 +157,14 @@ def references(docs: DataFrame, limits: Limits = Limits(), text: str = "text", l
 def _word_counts(words: Column, common: Column) -> Column:
     """How often each common word occurs, then how many other words there are.
 
-    Each word becomes one character, so that counting is a matter of lengths.
+    Each word becomes one character, so that counting is a matter of lengths. A word longer than all common ones is
+    not looked for among them.
     """
     first = 48
     code = lambda k: F.char(k + first)
-    coded = F.array_join(F.transform(words, lambda w: code(F.array_position(common, w))), "")
+    place = lambda w, most: F.when(F.octet_length(w) <= most, F.array_position(common, w)).otherwise(0)
+    longest = F.array_max(F.transform(common, lambda w: F.octet_length(w)))
+    coded = let(longest, lambda most: F.array_join(F.transform(words, lambda w: code(place(w, most))), ""))
     hits = lambda s, k: F.char_length(s) - F.char_length(F.replace(s, code(k)))
     order = lambda: F.concat(F.sequence(F.lit(1), F.size(common)), F.array(F.lit(0)))
     return let(coded, lambda s: F.transform(order(), lambda k: hits(s, k).cast("double")))

@@ -3,8 +3,9 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from martloom.llm.quality import BLANKS, DIGITS, LOWER, MARKS, RARE_SYMBOLS, SYMBOLS, UPPER, Limits, assessed, passing
+from martloom.llm.quality import BLANKS, DIGITS, LOWER, MARKS, RARE_SYMBOLS, SYMBOLS, UPPER, Limits, _repeated, assessed, passing
 
 LAYOUT = "doc_id LONG, text STRING, lang STRING"
 LIMITS = Limits(class_distance=0.3, word_distance=0.4, least_chars=20, least_words=8, common_share=0.05, language_share=0.02)
@@ -90,3 +91,10 @@ def test_kept_rows_keep_their_columns(spark):
 
 def test_empty_table(spark):
     assert assessed(spark.createDataFrame([], LAYOUT)).collect() == []
+
+
+def test_windows_are_hashed_by_the_hashes_of_their_words(spark):
+    """No window is copied for its hash."""
+    words = F.split(F.col("id").cast("string"), " ")
+    plan = spark.range(1).select(_repeated(words)).alias("n")._jdf.queryExecution().analyzed().toString()
+    assert "xxhash64(" in plan and "xxhash64(slice(" not in plan
